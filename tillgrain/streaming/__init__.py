@@ -1,0 +1,2 @@
+"""Reserved. The modelled system has no streaming operators; data that arrives
+late is handled by the batch look-back in ``tillgrain.plans.incremental``."""
