@@ -28,7 +28,7 @@ def _meta(dimension: str, run_at: Column | None) -> list[Column]:
 
 def _sum(flag: str, name: str) -> Column:
     # Zero, not unknown, on an empty table.
-    return F.coalesce(F.sum(flag), F.lit(0)).alias(name)
+    return F.expr(f"coalesce(sum({flag}), 0) AS {name}")
 
 
 def row_count() -> Column:
@@ -181,17 +181,20 @@ def _known_key_counts(raw: DataFrame) -> DataFrame:
     return key_counts(raw.where("invoice_no IS NOT NULL AND stock_code IS NOT NULL"))
 
 
-def uniqueness(raw: DataFrame, run_at: Column | None = None) -> DataFrame:
+def uniqueness_counts(raw: DataFrame) -> DataFrame:
     """One shuffle: the row total is the sum of the key counts."""
     seen = F.col("occurrence_count")
-    totals = _known_key_counts(raw).agg(
+    return _known_key_counts(raw).agg(
         F.coalesce(F.sum(seen), F.lit(0)).alias("n_total"),
         F.count(F.when(seen > 1, 1)).alias("composite_duplicate_group_count"),
         F.coalesce(F.sum(F.when(seen > 1, seen - 1)), F.lit(0)).alias(
             "composite_duplicate_row_count"
         ),
     )
-    return totals.select(
+
+
+def uniqueness(raw: DataFrame, run_at: Column | None = None) -> DataFrame:
+    return uniqueness_counts(raw).select(
         "*",
         complement_share(F.col("composite_duplicate_row_count"), _n_total()).alias(
             "composite_uniqueness_rate"

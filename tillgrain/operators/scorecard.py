@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillgrain.functions import flags
-from tillgrain.functions.rates import RATE, banded
+from tillgrain.functions.rates import RATE, banded, complement_share, share
 from tillgrain.operators import quality
 from tillgrain.rules import (
     COMPOSITE_KEY_NAME,
@@ -19,63 +19,81 @@ ALL_COLUMNS = "ALL_COLUMNS"
 LABELS = ("dimension", "check_name", "metric_name")
 
 
-def _metric(dimension: str, check: str, metric: str, value: str, rate: Column) -> Column:
-    return F.struct(
-        F.lit(dimension).alias("dimension"),
-        F.lit(check).alias("check_name"),
-        F.lit(metric).alias("metric_name"),
-        F.col(value).cast("bigint").alias("metric_value"),
-        rate.cast(RATE).alias("rate"),
-        F.col("n_total").cast("bigint").alias("n_total"),
+# How a metric's rate follows from its part and whole.
+GOOD_SHARE = "good"  # part of the whole that is fine
+BAD_SHARE = "bad"  # part of the whole that is not; the rate is what remains
+REST_OF_GOOD = "rest"  # what the rounded good share leaves
+
+
+def _metric(
+    dimension: str, check: str, metric: str, value: str, part: str, whole: str, form: str
+) -> str:
+    return (
+        f"struct('{dimension}' AS dimension, '{check}' AS check_name,"
+        f" '{metric}' AS metric_name, {value} AS metric_value,"
+        f" {part} AS part, {whole} AS whole, '{form}' AS form, n_total)"
     )
 
 
-def _scan_metrics() -> list[Column]:
-    """Completeness, validity and consistency: all from one aggregate row."""
-    complete, valid = F.col("fully_complete_row_rate"), F.col("fully_valid_row_rate")
-    out = [
-        _metric(
-            "completeness", c, "incomplete_count",
-            f"{c}_incomplete_count", F.col(f"{c}_completeness_rate"),
-        )
-        for c in flags.COMPLETENESS_COLUMNS
-    ]
-    out += [
-        _metric("completeness", ALL_COLUMNS, m, m, r)
-        for m, r in (
-            ("fully_complete_row_count", complete),
-            ("incomplete_row_count", 1 - complete),
-        )
-    ]
-    out += [
-        _metric(
-            "validity", c, "invalid_count", f"{c}_invalid_count", F.col(f"{c}_validity_rate")
-        )
-        for c in flags.VALIDITY_COLUMNS
-    ]
-    out += [
-        _metric("validity", ALL_COLUMNS, m, m, r)
-        for m, r in (("fully_valid_row_count", valid), ("invalid_row_count", 1 - valid))
+def _as_rows(metrics: list[str]) -> Column:
+    return F.expr(f"inline(array({', '.join(metrics)}))")
+
+
+def _rate() -> Column:
+    part, whole, form = F.col("part"), F.col("whole"), F.col("form")
+    return (
+        F.when(form == BAD_SHARE, complement_share(part, whole))
+        .when(form == GOOD_SHARE, share(part, whole))
+        .otherwise((1 - share(part, whole)).cast(RATE))
+    )
+
+
+def _whole_row_metrics(dimension: str, good: str, bad: str) -> list[str]:
+    return [
+        _metric(dimension, ALL_COLUMNS, good, good, good, "n_total", GOOD_SHARE),
+        _metric(dimension, ALL_COLUMNS, bad, bad, good, "n_total", REST_OF_GOOD),
     ]
-    out += [
-        _metric("consistency", rule, "failing_row_count", count, F.col(rate))
-        for rule, count, rate in (
-            (SALE_RULE_NAME, "sale_with_zero_price_count", "sales_price_consistency_rate"),
-            (
-                RETURN_RULE_NAME,
-                "return_with_nonpositive_price_count",
-                "return_price_consistency_rate",
-            ),
-        )
+
+
+def _failures(dimension: str, check: str, metric: str, count: str, whole: str) -> str:
+    return _metric(dimension, check, metric, count, count, whole, BAD_SHARE)
+
+
+def _scan_metrics() -> list[str]:
+    """Completeness, validity and consistency: all from one aggregate row."""
+    return [
+        *[
+            _failures("completeness", c, "incomplete_count", f"{c}_incomplete_count", "n_total")
+            for c in flags.COMPLETENESS_COLUMNS
+        ],
+        *_whole_row_metrics(
+            "completeness", "fully_complete_row_count", "incomplete_row_count"
+        ),
+        *[
+            _failures("validity", c, "invalid_count", f"{c}_invalid_count", "n_total")
+            for c in flags.VALIDITY_COLUMNS
+        ],
+        *_whole_row_metrics("validity", "fully_valid_row_count", "invalid_row_count"),
+        *[
+            _failures("consistency", rule, "failing_row_count", count, whole)
+            for rule, count, whole in (
+                (SALE_RULE_NAME, "sale_with_zero_price_count", "total_sale_rows"),
+                (
+                    RETURN_RULE_NAME,
+                    "return_with_nonpositive_price_count",
+                    "total_return_rows",
+                ),
+            )
+        ],
     ]
-    return out
 
 
-def _key_metrics() -> list[Column]:
+def _key_metrics() -> list[str]:
+    extra = "composite_duplicate_row_count"
     return [
         _metric(
-            "uniqueness", COMPOSITE_KEY_NAME, metric,
-            f"composite_{metric}", F.col("composite_uniqueness_rate"),
+            "uniqueness", COMPOSITE_KEY_NAME, metric, f"composite_{metric}",
+            extra, "n_total", BAD_SHARE,
         )
         for metric in ("duplicate_group_count", "duplicate_row_count")
     ]
@@ -89,18 +107,20 @@ def metric_rows(raw: DataFrame, rules: CleanRules) -> DataFrame:
         *quality.validity_counts(),
         *quality.consistency_counts(),
     )
-    measured = counts.withColumns(
-        {
-            **quality.completeness_rates(),
-            **quality.validity_rates(),
-            **quality.consistency_rates(),
-        }
-    )
-    scanned = measured.select(F.inline(F.array(*_scan_metrics()))).where(
-        (F.col("dimension") == "consistency") | (F.col("n_total") > 0)
+    total = F.col("n_total")
+    rest = {
+        "incomplete_row_count": total - F.col("fully_complete_row_count"),
+        "invalid_row_count": total - F.col("fully_valid_row_count"),
+    }
+    scanned = counts.withColumns(rest).select(_as_rows(_scan_metrics()))
+    keyed = quality.uniqueness_counts(raw).select(_as_rows(_key_metrics()))
+    # An empty table has no completeness and no validity.
+    meaningful = F.col("dimension").isin("uniqueness", "consistency") | (total > 0)
+    return (
+        scanned.unionByName(keyed)
+        .where(meaningful)
+        .select(*LABELS, "metric_value", _rate().alias("rate"), "n_total")
     )
-    keyed = quality.uniqueness(raw).select(F.inline(F.array(*_key_metrics())))
-    return scanned.unionByName(keyed)
 
 
 def status(rate: Column, rules: CleanRules) -> Column:

@@ -29,6 +29,7 @@ from tillgrain.plans import incremental, suite
 from tillgrain.plans.pipeline import Lakehouse
 from tillgrain.sources import ingest
 from tillgrain.sources.star_adapter import STAR_RULES, stored_lines
+from tillgrain.sources.tables import materialise, stored_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,30 +91,44 @@ def _timestamp_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("invoice_date", ingest.parse_timestamp(F.col("date_text")))
 
 
-# -- incremental demonstration: a target built from the earlier transactions ---
+# -- incremental runs: the tables an earlier run stored, then the new transactions --
 
 
-def _earlier(house: Lakehouse) -> DataFrame:
-    return house.txn_filtered.where(F.col("invoice_date") < F.lit(INCREMENT_FROM))
+class _State:
+    """Stored transactions, and the facts an earlier run derived from part of them."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        house = lakehouse(spark, sf_dir)
 
-def _earlier_grain(house: Lakehouse) -> DataFrame:
-    return snapshot.composite_grain(_earlier(house), house.rules)
+        def stored(label: str, build: Callable[[], DataFrame]) -> DataFrame:
+            return stored_once(spark, label, sf_dir, build)
 
-
-def _grain_incremental(mode: str) -> Callable[[Lakehouse], DataFrame]:
-    def run(house: Lakehouse) -> DataFrame:
-        return incremental.grain_incremental(
-            _earlier_grain(house), house.txn_filtered, house.rules, mode
+        self.rules = house.rules
+        self.filtered = stored("txn_filtered", lambda: house.txn_filtered)
+        earlier = self.filtered.where(F.col("invoice_date") < F.lit(INCREMENT_FROM))
+        self.rfm = stored("earlier_rfm", lambda: rfm.rfm_full_refresh(earlier, self.rules))
+        self.grain = stored(
+            "earlier_grain", lambda: snapshot.composite_grain(earlier, self.rules)
         )
 
+
+def _grain_incremental(mode: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        state = _State(spark, sf_dir)
+        return incremental.grain_incremental(state.grain, state.filtered, state.rules, mode)
+
     return run
 
 
-def _rfm_incremental(house: Lakehouse) -> DataFrame:
-    target = rfm.rfm_full_refresh(_earlier(house), house.rules)
-    grain = _grain_incremental("look_back")(house)
-    return incremental.rfm_incremental(target, grain, house.txn_filtered)
+def _rfm_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grain is brought up to date and stored first, then the metrics follow it."""
+    state = _State(spark, sf_dir)
+    grain = materialise(
+        spark,
+        incremental.grain_incremental(state.grain, state.filtered, state.rules),
+        "current_grain",
+    )
+    return reported(incremental.rfm_incremental(state.rfm, grain, state.filtered))
 
 
 # -- checks --------------------------------------------------------------------
@@ -178,11 +193,11 @@ def queries() -> dict[str, Query]:
         "customer_month_spine": _over(lambda h: snapshot.month_spine(bounds(h), h.rules)),
         "first_month_index": _over(lambda h: snapshot.first_month_index(bounds(h), h.rules)),
         "grain_full": _table("composite_grain"),
-        "grain_incremental": _over(_grain_incremental("look_back")),
-        "grain_incremental_affected": _over(_grain_incremental("affected_customers")),
+        "grain_incremental": _grain_incremental("look_back"),
+        "grain_incremental_affected": _grain_incremental("affected_customers"),
         "txn_monthly": _over(lambda h: rfm.monthly_transactions(h.txn_filtered)),
         "rfm_full": _table("customer_rfm"),
-        "rfm_incremental": _over(_rfm_incremental),
+        "rfm_incremental": _rfm_incremental,
         "dq_completeness_flags": _over(lambda h: quality.completeness_flags(h.raw)),
         "dq_completeness": _table("dq_completeness"),
         "dq_validity_flags": _over(lambda h: quality.validity_flags(h.raw, h.rules)),

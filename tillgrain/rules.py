@@ -22,6 +22,11 @@ RAW_COLUMNS = (
     "country",
 )
 
+RAW_SCHEMA = (
+    "invoice_no STRING, stock_code STRING, description STRING, quantity DOUBLE,"
+    " invoice_date TIMESTAMP_NTZ, unit_price DOUBLE, customer_id STRING, country STRING"
+)
+
 COUNTRIES = (
     "United Kingdom", "France", "EIRE", "Germany", "Netherlands", "Spain",
     "Belgium", "Switzerland", "Portugal", "Australia", "Norway", "Italy",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrain.rules import COUNTRIES, CleanRules
-from tillgrain.sources.tables import store
+from tillgrain.sources.tables import stored_once
 
 # Dates of the star schema span 1995-2001; "now" is fixed so results are stable.
 STAR_RULES = CleanRules(
@@ -37,18 +37,9 @@ def _spread(spark: SparkSession, scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-_STORED: dict[tuple[str, str], str] = {}
-
-
 def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw lines as a stored table, written once per application and folder.
-
-    The pipeline starts from a stored raw table, as after an ingest.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        _STORED[key] = store(spark, raw_lines(spark, sf_dir), "raw")
-    return spark.read.parquet(_STORED[key])
+    """The raw lines as a stored table: the pipeline starts where an ingest ends."""
+    return stored_once(spark, "raw", sf_dir, lambda: raw_lines(spark, sf_dir))
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tillgrain.operators.upsert import upsert
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
@@ -21,24 +24,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tillgrain-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        if context.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tillgrain-")
+        return _LOCAL_FOLDERS[context.applicationId]
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def materialise(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back: cuts the lineage and
     outlives the executors that computed it."""
-    return spark.read.parquet(store(spark, df, label))
-
-
-def store(spark: SparkSession, df: DataFrame, label: str) -> str:
-    """Write to a new table in the shared folder and return its path."""
     path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return path
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_STORED: dict[tuple[str, ...], DataFrame] = {}
+
+
+def stored_once(
+    spark: SparkSession, label: str, source: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A table derived from ``source``, written on first use in this application."""
+    key = (spark.sparkContext.applicationId, label, source)
+    if key not in _STORED:
+        _STORED[key] = materialise(spark, build(), label)
+    return _STORED[key]
 
 
 def write_table(
