@@ -11,7 +11,12 @@ from conftest import RULES, lines
 from pyspark.sql import functions as F
 
 from tillgrain.operators import quality, rowflags, staging
-from tillgrain.operators.dedup import RAW_TIE_BREAK, keep_latest, mark_duplicates
+from tillgrain.operators.dedup import (
+    MAX_BROADCAST_KEYS,
+    RAW_TIE_BREAK,
+    keep_latest,
+    mark_duplicates,
+)
 from tillgrain.rules import RAW_COLUMNS
 
 
@@ -44,13 +49,15 @@ def random_rows(seed: int, n: int, hot: dict) -> list[dict]:
     return out
 
 
-@pytest.mark.parametrize(
-    "seed, hot",
-    [(1, {"invoice_no": None, "stock_code": None}), (2, {"invoice_no": "1", "stock_code": "Z"})],
-)
-def test_marks_all_but_the_earliest(spark, seed, hot):
-    raw = lines(spark, random_rows(seed, 600, hot)).repartition(6).cache()
-    found = mark_duplicates(raw).collect()
+HOT_KEYS = ({"invoice_no": None, "stock_code": None}, {"invoice_no": "1", "stock_code": "Z"})
+
+
+# Limits of 1 and 5 keys leave most repeated keys to the ordinary window.
+@pytest.mark.parametrize("max_keys", [MAX_BROADCAST_KEYS, 5, 1])
+@pytest.mark.parametrize("hot", HOT_KEYS)
+def test_marks_all_but_the_earliest(spark, hot, max_keys):
+    raw = lines(spark, random_rows(1, 600, hot)).repartition(6).cache()
+    found = mark_duplicates(spark, raw, max_keys).collect()
     assert Counter(tuple(r[c] for c in RAW_COLUMNS) for r in found) == Counter(
         tuple(r) for r in raw.collect()
     )
@@ -65,22 +72,30 @@ def test_marks_all_but_the_earliest(spark, seed, hot):
         assert tuple(_nulls_last(firsts[0][c]) for c in order) == earliest
 
 
-def test_same_result_without_broadcast(spark):
-    """The path for key lists too large to broadcast gives the same rows."""
-    raw = lines(spark, random_rows(3, 600, {"stock_code": "Z"})).repartition(6).cache()
-    usual = Counter(mark_duplicates(raw).collect())
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+def test_unique_rows_are_not_shuffled(spark, star):
+    plan = mark_duplicates(spark, star.raw)._jdf.queryExecution().executedPlan().toString()
+    unique_branch = plan[: plan.index("LeftSemi")].split("Union")[1].split("Window")[0]
+    assert "LeftAnti" in unique_branch and "Exchange hash" not in unique_branch
+
+
+def test_no_task_gets_a_whole_hot_key(spark):
+    """Rows of one key, a third of the table, are ranked in several tasks."""
+    raw = spark.range(0, 90_000, 1, 12).selectExpr(
+        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS invoice_no", "'A' AS stock_code",
+        "'MUG' AS description", "1D AS quantity",
+        "TIMESTAMP_NTZ '2010-01-01' + make_dt_interval(0, 0, 0, id) AS invoice_date",
+        "1.25D AS unit_price", "'1.0' AS customer_id", "'France' AS country",
+    )
+    marked = mark_duplicates(spark, raw)
+    assert marked.agg(F.sum("is_duplicate")).first()[0] == 29_999
+    option = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(option, "false")  # the test's few rows would be put together again
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-        merged = mark_duplicates(raw)
-        assert "BroadcastHashJoin" not in merged._jdf.queryExecution().toString()
-        assert Counter(merged.collect()) == usual
+        parts = marked.select("invoice_no", F.spark_partition_id().alias("part"))
+        hot = parts.where("invoice_no = 'hot'").groupBy("part").count().collect()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        if adaptive is None:
-            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset(option)
+    assert max(r["count"] for r in hot) < 15_000
 
 
 def test_keep_latest_prefers_unknown_date_then_ties(spark):
@@ -139,7 +154,7 @@ def test_row_ids(spark):
 
 def test_flag_totals_match_the_section_counts(star):
     """Row flags and aggregate metrics count the same failures."""
-    flags = rowflags.flag_rows(star.raw, star.rules)
+    flags = rowflags.flag_rows(star.spark, star.raw, star.rules)
     names = [c for c in flags.columns if c not in rowflags.OUTPUT_COLUMNS]
     totals = flags.agg(*[F.sum(c).alias(c) for c in names]).first().asDict()
     expected = {

@@ -68,8 +68,8 @@ def in_order(spark):
     return [r.asDict() for r in lines(spark, [row for _, row, *_ in HAND_ROWS]).collect()]
 
 
-def test_each_row_raises_exactly_its_flags(raw, in_order):
-    found = {_key(r): r.asDict() for r in rowflags.flag_rows(raw, RULES).collect()}
+def test_each_row_raises_exactly_its_flags(spark, raw, in_order):
+    found = {_key(r): r.asDict() for r in rowflags.flag_rows(spark, raw, RULES).collect()}
     for (name, _, expected, _, _), source in zip(HAND_ROWS, in_order, strict=True):
         row = found[_key(source)]
         raised = {
@@ -79,8 +79,8 @@ def test_each_row_raises_exactly_its_flags(raw, in_order):
         assert raised == set(expected), name
 
 
-def test_error_counts(raw, in_order):
-    found = {_key(r): r for r in rowflags.row_level_flags(raw, RULES).collect()}
+def test_error_counts(spark, raw, in_order):
+    found = {_key(r): r for r in rowflags.row_level_flags(spark, raw, RULES).collect()}
     for (name, _, expected, _, _), source in zip(HAND_ROWS, in_order, strict=True):
         row = found[_key(source)]
         assert row.error_count == len(expected), name
@@ -103,8 +103,8 @@ def test_staging_and_logic_filter(raw, in_order):
     assert by_invoice["536365"].revenue == 2 * by_invoice["536365"].unit_price
 
 
-def test_usable_summary(raw):
-    row = usable.usable_summary(rowflags.row_level_flags(raw, RULES)).first()
+def test_usable_summary(spark, raw):
+    row = usable.usable_summary(rowflags.row_level_flags(spark, raw, RULES)).first()
     assert (row.total_rows, row.clean_rows, row.affected_rows) == (25, 4, 21)
     assert round(row.avg_errors_per_affected_row, 4) == 1.5714
     assert str(row.pct_usable_data) == "16.00"
@@ -148,7 +148,7 @@ def test_empty_table(spark, raw):
     assert (unique.n_total, unique.composite_uniqueness_rate) == (0, None)
     consistent = quality.consistency(empty).first()
     assert consistent.n_total == 0 and consistent.sales_price_consistency_rate is None
-    summary = usable.usable_summary(rowflags.row_level_flags(empty, RULES)).first()
+    summary = usable.usable_summary(rowflags.row_level_flags(spark, empty, RULES)).first()
     assert (summary.total_rows, summary.pct_usable_data) == (0, None)
     assert summary.data_quality_grade == "UNACCEPTABLE"
     assert summary.actionable_insight == "Critical: Only % usable - Investigate root causes"

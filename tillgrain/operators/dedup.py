@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillgrain.rules import ROW_KEY
+from tillgrain.sources.tables import materialise
 
 STAGED_TIE_BREAK = ("quantity", "unit_price", "customer_id", "country")
+# Two short text columns per key: some tens of megabytes on each executor.
+MAX_BROADCAST_KEYS = 200_000
+
 RAW_TIE_BREAK = ("quantity", "unit_price", "customer_id", "country", "description")
 
 
@@ -34,40 +38,65 @@ def key_counts(raw: DataFrame) -> DataFrame:
     return raw.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("occurrence_count"))
 
 
-def mark_duplicates(raw: DataFrame) -> DataFrame:
+def mark_duplicates(
+    spark: SparkSession, raw: DataFrame, max_keys: int = MAX_BROADCAST_KEYS
+) -> DataFrame:
     """Add ``is_duplicate``: 0 on the earliest row of each key, 1 on the others.
 
-    Only rows whose key occurs more than once can be duplicates, so only they
-    are shuffled; the key counts that tell them apart are pre-aggregated. A key
-    shared by a large part of the table is ranked in two steps: within the
-    slice of the table that one map task read, then among the slice winners,
-    of which there are at most as many as map tasks.
+    Only rows whose key occurs more than once can be duplicates. Those keys are
+    found and stored first (counted per task before the shuffle). When they are
+    few, they are broadcast, every other row is finished without a shuffle and
+    the rows that share a key are ranked in two steps, see ``_rank_by_slice``.
+
+    When they are many, only the hottest are broadcast: fewer than ``max_keys``
+    keys can each hold more than ``rows / max_keys`` rows. What remains has no
+    key above that size and is ranked by one ordinary window.
     """
-    raw = raw.withColumn("_slice", F.spark_partition_id())
-    contested = (
-        key_counts(raw)
-        .where(F.col("occurrence_count") > 1)
-        .select(*[F.col(k).alias(f"_{k}") for k in ROW_KEY])
+    repeated = materialise(
+        spark, key_counts(raw).where(F.col("occurrence_count") > 1), "repeated_keys"
+    )
+    size = repeated.agg(
+        F.count(F.lit(1)).alias("keys"),
+        F.coalesce(F.sum("occurrence_count"), F.lit(0)).alias("rows"),
+    ).first()
+    few = size["keys"] <= max_keys
+    split = repeated if few else repeated.where(
+        F.col("occurrence_count") > size["rows"] // max_keys
     )
+    keys = F.broadcast(split.select(*[F.col(k).alias(f"_{k}") for k in ROW_KEY]))
     same_key = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ROW_KEY]
     )
-    alone = raw.join(contested, same_key, "left_anti").withColumn("is_duplicate", F.lit(0))
-
     order = [F.col("invoice_date").asc_nulls_last(), *_ascending(RAW_TIE_BREAK)]
+    rest = raw.join(keys, same_key, "left_anti")
+    if few:
+        rest = rest.withColumn("is_duplicate", F.lit(0))
+    else:
+        rank = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(*order))
+        rest = rest.withColumn("is_duplicate", F.when(rank > 1, 1).otherwise(0))
+    sliced = raw.withColumn("_slice", F.spark_partition_id())
+    ranked = _rank_by_slice(sliced.join(keys, same_key, "left_semi"), order)
+    return rest.unionByName(ranked)
+
+
+def _rank_by_slice(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Mark all but the first row per key when a key may hold any number of rows.
+
+    Rows are ranked within the slice of the table that one task read, then the
+    winners of the slices, at most one per key and task, among each other. The
+    slice is the task's number, so a task that is run again gives the same one.
+    """
     within = Window.partitionBy(*ROW_KEY, "_slice").orderBy(*order)
     among = Window.partitionBy(*ROW_KEY, "_round").orderBy(*order)
-    ranked = (
-        raw.join(contested, same_key, "left_semi")
-        # An explicit exchange on key and slice: the join may have left the rows
-        # partitioned by key alone, which would put a hot key into one task.
-        .repartition(*ROW_KEY, "_slice")
+    first = F.col("_first") & (F.col("_rank") == 1)
+    return (
+        # Explicit exchanges on all the columns: partitioning by the key alone
+        # would satisfy the windows too, with a hot key in one task.
+        rows.repartition(*ROW_KEY, "_slice")
         .withColumn("_first", F.row_number().over(within) == 1)
         .withColumn("_round", F.when(F.col("_first"), F.lit(-1)).otherwise(F.col("_slice")))
         .repartition(*ROW_KEY, "_round")
         .withColumn("_rank", F.row_number().over(among))
-        .withColumn(
-            "is_duplicate", F.when(F.col("_first") & (F.col("_rank") == 1), 0).otherwise(1)
-        )
+        .withColumn("is_duplicate", F.when(first, 0).otherwise(1))
+        .drop("_slice", "_first", "_round", "_rank")
     )
-    return alone.drop("_slice").unionByName(ranked.select(*alone.drop("_slice").columns))

@@ -32,11 +32,11 @@ def _dated_months(filtered: DataFrame) -> DataFrame:
 
 
 def _running_totals() -> dict[str, Column]:
-    """Totals from a customer's first month up to the current row's month."""
+    """Totals over all of a customer's months up to and including the current row's."""
     so_far = (
         Window.partitionBy("customer_id")
         .orderBy("month")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return {
         "_txns": F.sum("txn_count").over(so_far),
@@ -63,13 +63,13 @@ def rfm(grain: DataFrame, filtered: DataFrame, since: Column | None = None) -> D
     """Metrics for any snapshot grain, holes included.
 
     "All transactions up to the snapshot month" is a running window over the
-    union of grain and transaction months of a customer, at most one row per
-    calendar month, instead of a join that pairs every snapshot with every
-    earlier month. ``since`` keeps later snapshots only, after the window has
-    seen the full history.
+    snapshots and the monthly totals of a customer stacked on each other, at
+    most two rows per calendar month, instead of a join that pairs every
+    snapshot with every earlier month. ``since`` keeps later snapshots only,
+    after the window has seen the full history.
     """
     snapshots = grain.select(*GRAIN, F.col("snapshot_date").alias("month"))
-    timeline = snapshots.join(_dated_months(filtered), ["customer_id", "month"], "full_outer")
+    timeline = snapshots.unionByName(_dated_months(filtered), allowMissingColumns=True)
     out = (
         timeline.withColumns(_running_totals())
         .where(F.col("snapshot_date").isNotNull())

@@ -31,23 +31,23 @@ def row_flags(rules: CleanRules) -> dict[str, Column]:
     }
 
 
-def flag_rows(raw: DataFrame, rules: CleanRules) -> DataFrame:
+def flag_rows(spark: SparkSession, raw: DataFrame, rules: CleanRules) -> DataFrame:
     """Source columns plus all 17 flags."""
     own = row_flags(rules)
-    return mark_duplicates(raw).select(
+    return mark_duplicates(spark, raw).select(
         *OUTPUT_COLUMNS, *[f.alias(n) for n, f in own.items()], "is_duplicate"
     )
 
 
 def row_level_flags(
-    raw: DataFrame, rules: CleanRules, checked_at: Column | None = None
+    spark: SparkSession, raw: DataFrame, rules: CleanRules, checked_at: Column | None = None
 ) -> DataFrame:
     """Each raw row with its number of broken rules (0-17).
 
     All flags are computed on the row itself, so a row always gets its own
     flags. The rows are not sorted; sort when exporting.
     """
-    flagged = flag_rows(raw, rules)
+    flagged = flag_rows(spark, raw, rules)
     names = [c for c in flagged.columns if c not in OUTPUT_COLUMNS]
     errors = sum((F.col(c) for c in names), F.lit(0))
     return flagged.select(

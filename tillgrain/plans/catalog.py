@@ -209,7 +209,7 @@ def queries() -> dict[str, Query]:
         "dq_overall_score": _over(lambda h: scorecard.overall_score(h.raw, h.rules)),
         "dq_export": _over(lambda h: scorecard.export_rows(h.dq_summary)),
         "dq_row_ids": _over(lambda h: rowflags.with_row_id(h.spark, h.raw)),
-        "dq_row_flag_details": _over(lambda h: rowflags.flag_rows(h.raw, h.rules)),
+        "dq_row_flag_details": _over(lambda h: rowflags.flag_rows(h.spark, h.raw, h.rules)),
         "dq_row_level_flags": _table("dq_row_level_flags"),
         "dq_usable_summary": _table("dq_usable_summary"),
     }

@@ -27,8 +27,9 @@ from tillgrain.sources.tables import write_table
 class Lakehouse(Mapping):
     """Every table as a lazy DataFrame over one raw table.
 
-    Works as a mapping from table name to DataFrame; nothing runs until a table
-    is used, and a table that is used alone reads only the columns it needs.
+    Works as a mapping from table name to DataFrame. A table is planned when it is
+    first asked for, and one that is used alone reads only the columns it needs.
+    Only the row flags run a job while planning: the repeated keys.
     """
 
     spark: SparkSession
@@ -118,7 +119,7 @@ class Lakehouse(Mapping):
 
     @cached_property
     def dq_row_level_flags(self) -> DataFrame:
-        return rowflags.row_level_flags(self.raw, self.rules)
+        return rowflags.row_level_flags(self.spark, self.raw, self.rules)
 
     @cached_property
     def dq_usable_summary(self) -> DataFrame:

@@ -57,10 +57,12 @@ def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> DataFrame:
     """Store one layer and return it as read back."""
-    writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        # Few files per partition, large partitions split over several tasks.
+        spread = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        spread.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
