@@ -8,9 +8,10 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import RULES, lines
+from literal_forms import literal_metric_sections, literal_row_flags
 from pyspark.sql import functions as F
 
-from tillgrain.operators import quality, rowflags, staging
+from tillgrain.operators import quality, rowflags, scorecard, staging
 from tillgrain.operators.dedup import (
     MAX_BROADCAST_KEYS,
     RAW_TIE_BREAK,
@@ -171,3 +172,15 @@ def test_flag_totals_match_the_section_counts(star):
     for c in ("invoice_no", "stock_code", "description", "quantity", "country"):
         assert complete[f"{c}_incomplete_count"] == expected[f"incomplete_{c}"]
         assert valid[f"{c}_invalid_count"] == expected[f"invalid_{c}"]
+
+
+def test_single_pass_equals_joined_flags(star):
+    mine = star.dq_row_level_flags.drop("dq_checked_at")
+    literal = literal_row_flags(star.raw, star.rules)
+    assert Counter(mine.collect()) == Counter(literal.select(*mine.columns).collect())
+
+
+def test_fused_scorecard_equals_separate_sections(star):
+    fused = scorecard.metric_rows(star.raw, star.rules).select("metric_value", "rate")
+    literal = literal_metric_sections(star.raw, star.rules).select("metric_value", "rate")
+    assert Counter(fused.collect()) == Counter(literal.collect())

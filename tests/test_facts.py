@@ -7,9 +7,10 @@ from datetime import date, datetime
 
 import pytest
 from conftest import RULES, lines
+from literal_forms import literal_grain, literal_rfm
 from pyspark.sql import functions as F
 
-from tillgrain.functions.months import month_index, whole_days
+from tillgrain.functions.months import month_index
 from tillgrain.operators import calendar, rfm, snapshot, staging
 from tillgrain.operators.dedup import keep_latest
 from tillgrain.operators.upsert import upsert
@@ -31,57 +32,6 @@ def same(a, b) -> bool:
     return Counter(a.select(*columns).collect()) == Counter(b.select(*columns).collect())
 
 
-def literal_grain(filtered, dim, activity):
-    """Range join against the dimension, then the joins for tenure and activity."""
-    base = snapshot.customer_bounds(filtered)
-    spine = base.join(dim, F.col("month_start").between(F.col("first_month"), F.col("last_month")))
-    first = base.join(dim, F.col("month_start") == F.col("first_month")).select(
-        "customer_id", F.col("month_index").alias("first_index")
-    )
-    active = activity.select(
-        "customer_id", F.col("activity_month").alias("month_start"), F.lit(True).alias("a")
-    )
-    return (
-        spine.join(first, "customer_id")
-        .join(active, ["customer_id", "month_start"], "left")
-        .select(
-            "customer_id",
-            F.col("month_start").alias("snapshot_date"),
-            F.col("a").isNotNull().alias("had_activity"),
-            (F.col("month_index") - F.col("first_index") + 1).alias(
-                "months_since_first_purchase"
-            ),
-        )
-    )
-
-
-def literal_rfm(grain, filtered):
-    """Every snapshot joined with all earlier months of the customer."""
-    m = rfm.monthly_transactions(filtered)
-    g = grain.alias("g")
-    condition = (F.col("g.customer_id") == m.customer_id) & (
-        m.txn_month <= F.col("g.snapshot_date")
-    )
-    keys = [f"g.{c}" for c in rfm.GRAIN]
-    total = (
-        g.join(m, condition, "left")
-        .groupBy(*keys)
-        .agg(
-            F.max("last_invoice_date").alias("last"),
-            F.sum("txn_count").alias("n"),
-            F.sum("total_revenue").alias("v"),
-        )
-    )
-    return total.select(
-        *rfm.GRAIN,
-        F.when(F.col("had_activity"), 0)
-        .otherwise(whole_days(F.col("snapshot_date"), F.col("last")))
-        .alias("recency_days"),
-        F.greatest(F.col("n") - 1, F.lit(0)).alias("frequency"),
-        F.when(F.col("n") > 0, F.col("v").cast("double") / F.col("n")).alias("monetary_value"),
-    )
-
-
 def test_one_customer_by_hand(spark):
     filtered = filtered_lines(
         spark,
