@@ -57,6 +57,16 @@ def test_wrong_number_of_columns_fails(spark, tmp_path):
         ingest.read_csv(spark, str(path))
 
 
+def test_line_lengths(spark, tmp_path):
+    path = tmp_path / "ragged.csv"
+    path.write_text(HEADER + "1,A,X,1,2009-12-01,1\n")
+    row = ingest.read_csv(spark, str(path)).first()
+    assert (row.invoice_no, row.customer_id, row.country) == ("1", None, None)
+    path.write_text(HEADER + "1,A,X,1,2009-12-01,1,1,France,surplus\n")
+    with pytest.raises(Exception, match="more than 8 values"):
+        ingest.read_csv(spark, str(path)).collect()
+
+
 def test_bad_number_fails_the_load(spark, tmp_path):
     path = tmp_path / "bad.csv"
     path.write_text(HEADER + "1,A,X,many,2009-12-01,1,1,France\n")

@@ -14,18 +14,24 @@ from tillgrain.rules import MISSING_TOKENS, RAW_COLUMNS
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The file's eight columns as text under their canonical names.
 
-    Columns are named by position; any other number of columns raises. Set
-    ``multi_line`` for quoted line breaks (such files cannot be split).
+    Columns are named by position: a header of another length raises here, a
+    line with more values when it is read. A shorter line ends in unknown
+    values. Set ``multi_line`` for quoted line breaks (such files cannot be split).
     """
-    text = (
+    reader = (
         spark.read.option("header", True)
         .option("encoding", "ISO-8859-1")
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(path)
     )
-    named = text.toDF(*RAW_COLUMNS)
-    return named.select(*[_known(c).alias(c) for c in RAW_COLUMNS])
+    reader.csv(path).toDF(*RAW_COLUMNS)
+    fields = [f"{c} STRING" for c in (*RAW_COLUMNS, "_surplus")]
+    text = reader.schema(", ".join(fields)).csv(path)
+    too_long = F.raise_error(F.lit(f"line with more than {len(RAW_COLUMNS)} values"))
+    checked = {c: _known(c) for c in RAW_COLUMNS}
+    first = RAW_COLUMNS[0]
+    checked[first] = F.when(F.col("_surplus").isNotNull(), too_long).otherwise(checked[first])
+    return text.select(*[c.alias(name) for name, c in checked.items()])
 
 
 def _known(name: str) -> Column:
