@@ -153,6 +153,20 @@ def test_row_ids(spark):
     )
 
 
+def test_row_ids_add_no_second_shuffle_of_the_rows(spark, star):
+    plan = rowflags.with_row_id(spark, star.raw)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(_position" not in plan
+
+
+def test_long_keys_lower_the_broadcast_limit(spark, monkeypatch):
+    monkeypatch.setattr("tillgrain.operators.dedup.MAX_BROADCAST_BYTES", 20)
+    rows = [dict(invoice_no=n) for n in ("536365", "536366", "536367") for _ in range(2)]
+    marked = mark_duplicates(spark, lines(spark, rows))
+    assert marked.agg(F.sum("is_duplicate")).first()[0] == 3
+    assert "LeftSemi" in marked._jdf.queryExecution().optimizedPlan().toString()
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("Window") == 3
+
+
 def test_flag_totals_match_the_section_counts(star):
     """Row flags and aggregate metrics count the same failures."""
     flags = rowflags.flag_rows(star.spark, star.raw, star.rules)

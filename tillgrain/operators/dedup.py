@@ -11,8 +11,9 @@ from tillgrain.rules import ROW_KEY
 from tillgrain.sources.tables import materialise
 
 STAGED_TIE_BREAK = ("quantity", "unit_price", "customer_id", "country")
-# Two short text columns per key: some tens of megabytes on each executor.
+# Bounds of the key list that is broadcast.
 MAX_BROADCAST_KEYS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 RAW_TIE_BREAK = ("quantity", "unit_price", "customer_id", "country", "description")
 
@@ -48,9 +49,10 @@ def mark_duplicates(
     few, they are broadcast, every other row is finished without a shuffle and
     the rows that share a key are ranked in two steps, see ``_rank_by_slice``.
 
-    When they are many, only the hottest are broadcast: fewer than ``max_keys``
-    keys can each hold more than ``rows / max_keys`` rows. What remains has no
-    key above that size and is ranked by one ordinary window.
+    When they are many, only the hottest are broadcast: fewer than n keys can
+    each hold more than 1/n of the rows. What remains has no key above that size
+    and is ranked by one ordinary window. n is at most ``max_keys``, and less
+    when keys are so long that their text would exceed ``MAX_BROADCAST_BYTES``.
     """
     repeated = materialise(
         spark, key_counts(raw).where(F.col("occurrence_count") > 1), "repeated_keys"
@@ -58,10 +60,12 @@ def mark_duplicates(
     size = repeated.agg(
         F.count(F.lit(1)).alias("keys"),
         F.coalesce(F.sum("occurrence_count"), F.lit(0)).alias("rows"),
+        F.coalesce(F.max(F.octet_length(F.concat_ws("", *ROW_KEY))), F.lit(0)).alias("longest"),
     ).first()
-    few = size["keys"] <= max_keys
+    limit = max(1, min(max_keys, MAX_BROADCAST_BYTES // max(1, size["longest"])))
+    few = size["keys"] <= limit
     split = repeated if few else repeated.where(
-        F.col("occurrence_count") > size["rows"] // max_keys
+        F.col("occurrence_count") > size["rows"] // limit
     )
     keys = F.broadcast(split.select(*[F.col(k).alias(f"_{k}") for k in ROW_KEY]))
     same_key = reduce(

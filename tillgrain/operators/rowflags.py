@@ -80,7 +80,7 @@ def with_row_id(spark: SparkSession, raw: DataFrame) -> DataFrame:
     )
     stored = materialise(spark, ranged, "row_id")
     part = F.shiftright(F.col("_position"), 33)
-    # One row per written partition; its size does not grow with the rows.
+    # One row per written partition, at most spark.sql.shuffle.partitions of them.
     sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(
@@ -89,7 +89,7 @@ def with_row_id(spark: SparkSession, raw: DataFrame) -> DataFrame:
     within = F.col("_position").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         stored.withColumn("_part", part)
-        .join(before, "_part")
+        .join(F.broadcast(before), "_part")
         .withColumn("row_id", F.col("_before") + within + 1)
         .drop("_part", "_position", "_before")
     )

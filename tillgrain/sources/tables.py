@@ -82,7 +82,8 @@ def merge_into_partitions(
     if partition_column not in keys:
         raise ValueError("the partition column must be part of the key")
     staged_delta = materialise(spark, delta, "delta")
-    touched = staged_delta.select(partition_column).distinct()
+    # One value per partition directory: small, and it prunes the scan of the target.
+    touched = F.broadcast(staged_delta.select(partition_column).distinct())
     target = spark.read.parquet(path)
     replaced = target.join(touched, partition_column, "left_semi").select(*target.columns)
     merged = materialise(spark, upsert(replaced, staged_delta, keys), "merged")
