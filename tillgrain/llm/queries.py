@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillgrain.llm import minhash_forest
+from tillgrain.llm import bpe, minhash_forest, sentence_spans
 from tillgrain.llm.support import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text after removal, its sentences and how many went."""
+    cleaned = sentence_spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_sentences", "n_removed")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(
         spark, table(spark, sf_dir, "documents"), size=3, percent=85
@@ -20,6 +30,8 @@ def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sentence_spans": op1_sentence_spans,
+        "op4_bpe": op4_bpe,
         "op10_minhash_forest": op10_minhash_forest,
     }
 

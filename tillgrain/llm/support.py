@@ -14,13 +14,18 @@ from tillgrain.sources.tables import materialise
 
 __all__ = ["grouped", "importable", "map_batches", "materialise", "table", "texts_of"]
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers of this session import the package from where the driver has it.
+    """Let Python workers of this session import the package from where the driver has it,
+    and send them texts in smaller batches than the default of 10,000 rows.
 
     On a cluster the package is installed or shipped with ``--py-files``; the
     extra path is then simply one that does not exist.
     """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "1000")
     environment = spark.sparkContext.environment
     top = str(Path(__file__).resolve().parents[2])
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
