@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillgrain.llm import bpe, minhash_forest, sentence_spans
+from tillgrain.llm import (
+    bpe,
+    language_profiles,
+    minhash_forest,
+    packing,
+    secret_crf,
+    sentence_spans,
+)
 from tillgrain.llm.support import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +25,23 @@ def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_sentences", "n_removed")
 
 
+def op2_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_crf.report(secret_crf.scan(docs, secret_crf.learn(docs)))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_profiles.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(
         spark, table(spark, sf_dir, "documents"), size=3, percent=85
@@ -31,7 +51,10 @@ def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_sentence_spans": op1_sentence_spans,
+        "op2_secret_crf": op2_secret_crf,
+        "op3_packing": op3_packing,
         "op4_bpe": op4_bpe,
+        "op5_language_profiles": op5_language_profiles,
         "op10_minhash_forest": op10_minhash_forest,
     }
 
