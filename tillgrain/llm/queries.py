@@ -11,6 +11,7 @@ from tillgrain.llm import (
     language_profiles,
     minhash_forest,
     packing,
+    quality_divergence,
     secret_crf,
     sentence_spans,
 )
@@ -42,6 +43,10 @@ def op5_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_profiles.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_divergence.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(
         spark, table(spark, sf_dir, "documents"), size=3, percent=85
@@ -55,6 +60,7 @@ def queries() -> dict[str, Query]:
         "op3_packing": op3_packing,
         "op4_bpe": op4_bpe,
         "op5_language_profiles": op5_language_profiles,
+        "op6_quality_divergence": op6_quality_divergence,
         "op10_minhash_forest": op10_minhash_forest,
     }
 
