@@ -23,7 +23,6 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +32,6 @@ from tillgrain.llm.support import importable, map_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _BUCKET = 1.5
-# Pre-tokens that a worker remembers; the memory only saves work.
-_HELD = 500_000
 _MASK, _STEP, _SPREAD = (1 << 64) - 1, 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 
 
@@ -129,25 +126,13 @@ class Encoder:
     def __init__(self, table: PerfectHash) -> None:
         self._rank_of = table.get
         self._pair_rank = dict(zip(table.keys, table.ranks, strict=True)).get
-        self._pretokens = regex.compile(public_tokenizers.PATTERN).findall
-        self._remembering = RememberingEncoder(self._encode_pieces)
-        self._held: dict[str, bytes] = {}
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        return [b"".join([self._pretoken(t) for t in self._pretokens(p)]) for p in pieces]
+        self._remembering = RememberingEncoder(lambda tokens: [self._pretoken(t) for t in tokens])
 
     def _pretoken(self, token: str) -> bytes:
-        known = self._held.get(token)
-        if known is None:
-            piece = token.encode()
-            rank = self._rank_of(piece)
-            ids = [rank] if rank is not None else merge(piece, self._pair_rank)
-            known = np.array(ids, dtype="<u4").tobytes()
-            if len(token) <= 48:
-                if len(self._held) >= _HELD:
-                    self._held.clear()
-                self._held[token] = known
-        return known
+        piece = token.encode()
+        rank = self._rank_of(piece)
+        ids = [rank] if rank is not None else merge(piece, self._pair_rank)
+        return np.array(ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         return self._remembering(text)

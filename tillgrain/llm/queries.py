@@ -11,6 +11,7 @@ from tillgrain.llm import (
     language_profiles,
     minhash_forest,
     packing,
+    projection_forest,
     quality_divergence,
     secret_crf,
     sentence_spans,
@@ -47,6 +48,10 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_divergence.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.search(spark, table(spark, sf_dir, "embeddings"), every=100)
+
+
 def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(
         spark, table(spark, sf_dir, "documents"), size=3, percent=85
@@ -61,6 +66,7 @@ def queries() -> dict[str, Query]:
         "op4_bpe": op4_bpe,
         "op5_language_profiles": op5_language_profiles,
         "op6_quality_divergence": op6_quality_divergence,
+        "op8_projection_forest": op8_projection_forest,
         "op10_minhash_forest": op10_minhash_forest,
     }
 
