@@ -11,6 +11,7 @@ from tillgrain.llm import (
     language_profiles,
     minhash_forest,
     packing,
+    pii_boosting,
     projection_forest,
     quality_divergence,
     secret_crf,
@@ -52,6 +53,11 @@ def op8_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_forest.search(spark, table(spark, sf_dir, "embeddings"), every=100)
 
 
+def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii_boosting.report(pii_boosting.find(docs, pii_boosting.learn(docs)))
+
+
 def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(
         spark, table(spark, sf_dir, "documents"), size=3, percent=85
@@ -67,6 +73,7 @@ def queries() -> dict[str, Query]:
         "op5_language_profiles": op5_language_profiles,
         "op6_quality_divergence": op6_quality_divergence,
         "op8_projection_forest": op8_projection_forest,
+        "op9_pii_boosting": op9_pii_boosting,
         "op10_minhash_forest": op10_minhash_forest,
     }
 
