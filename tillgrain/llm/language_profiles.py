@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillgrain.llm.support import map_batches
+from tillgrain.llm.support import importable, map_batches
 
 PROFILE = 400
 SAMPLE_ROWS = 2000
@@ -123,11 +123,14 @@ def learn(docs: DataFrame, size: int = PROFILE, rows: int = SAMPLE_ROWS) -> dict
 
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE) -> DataFrame:
-    """(doc_id, lang_pred, score) for each row.
+    """``docs`` with lang_pred and score (columns of these names are replaced).
 
     The score is 1 - distance / the largest possible distance: 1 for a document that
     ranks its n-grams as the profile does, 0 where it shares none with it.
     """
+    docs = docs.drop("lang_pred", "score")
+    names = docs.columns
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     languages = sorted(profiles)
     # All n-grams of any profile, and each language's rank of them (the size if absent).
     every = np.unique(np.concatenate([np.zeros(0, np.int64), *profiles.values()]))
@@ -147,26 +150,23 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFIL
         cost = np.abs(theirs - np.arange(own.size))
         return np.where(theirs == size, size, cost).sum(axis=1) / (size * own.size)
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             named, scores = [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(names.index("text")).to_pylist():
                 found = distances(text) if text else None
                 best = int(np.argmin(found)) if found is not None else 0
                 named.append(languages[best] if found is not None else UNKNOWN)
                 scores.append(float(1 - found[best]) if found is not None else 0.0)
-            yield {
-                "doc_id": batch.column(0),
-                "lang_pred": pa.array(named, pa.string()),
-                "score": pa.array(scores, pa.float64()),
-            }
+            columns = [*batch.columns, pa.array(named, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score"])
 
-    return map_batches(
-        docs.select("doc_id", "text"), step, "doc_id bigint, lang_pred string, score double"
-    )
+    importable(docs.sparkSession)
+    return docs.mapInArrow(step, fields + ", lang_pred string, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """Learn from the documents that are not held out, predict all of them."""
     profiles = learn(docs.where(~held_out()))
-    return predict(docs, profiles).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    found = predict(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillgrain.llm import (
     bpe,
+    html_layout,
     language_profiles,
     minhash_forest,
     packing,
@@ -49,6 +50,10 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_divergence.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_forest.search(spark, table(spark, sf_dir, "embeddings"), every=100)
 
@@ -72,6 +77,7 @@ def queries() -> dict[str, Query]:
         "op4_bpe": op4_bpe,
         "op5_language_profiles": op5_language_profiles,
         "op6_quality_divergence": op6_quality_divergence,
+        "op7_html_layout": op7_html_layout,
         "op8_projection_forest": op8_projection_forest,
         "op9_pii_boosting": op9_pii_boosting,
         "op10_minhash_forest": op10_minhash_forest,
