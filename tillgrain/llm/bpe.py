@@ -17,6 +17,7 @@ ignored.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -132,7 +133,7 @@ class Encoder:
         piece = token.encode()
         rank = self._rank_of(piece)
         ids = [rank] if rank is not None else merge(piece, self._pair_rank)
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
         return self._remembering(text)

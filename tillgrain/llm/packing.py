@@ -20,6 +20,7 @@ text are ignored; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -42,6 +43,13 @@ _ROUNDED_SHARES = (1.0, 0.9, 0.5, 0.0)
 # Pieces of one length that a hash group holds on average; the number of groups grows.
 GROUP_ROWS = 20_000
 
+# The alphabet of byte-level vocabularies: printable bytes stand for themselves, the
+# others take the code points from 256 on in their order.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {
+    byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)
+}
+
 _ENCODERS: dict[str, RememberingEncoder] = {}
 
 
@@ -49,12 +57,14 @@ def _encoder(model: str) -> RememberingEncoder:
     """One tokenizer and memory per worker process."""
     if model not in _ENCODERS:
         _ENCODERS.clear()
-        tokenizer = Tokenizer.from_str(model)
-        tokenizer.encode_special_tokens = True
-
-        def encode(pieces: list[str]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        # The library's merges alone: the text is split already, and special tokens
+        # are ordinary text.
+        tokenize = Tokenizer.from_str(model).model.tokenize
+
+        def encode(tokens: list[str]) -> list[bytes]:
+            spelled = (t.encode().decode("latin-1").translate(_BYTE_LETTERS) for t in tokens)
+            ids = ([part.id for part in tokenize(t)] for t in spelled)
+            return [struct.pack(f"<{len(i)}I", *i) for i in ids]
 
         _ENCODERS[model] = RememberingEncoder(encode)
     return _ENCODERS[model]
