@@ -52,7 +52,7 @@ def test_jensen_shannon_matches_numpy(spark):
     rows = spark.createDataFrame([(c.tolist(),) for c in counts], "c array<bigint>")
     total = F.aggregate("c", F.lit(0).cast("bigint"), lambda a, x: a + x)
     got = rows.withColumn("s", total).select(
-        "c", quality.jensen_shannon(F.col("c"), F.col("s"), q.tolist()).alias("d")
+        "c", quality.jensen_shannon(F.col("c"), F.col("s"), F.array(*map(F.lit, q.tolist()))).alias("d")
     )
     for r in got.collect():
         p = np.array(r["c"]) / sum(r["c"])

@@ -2,9 +2,9 @@
 
 Sentences end at ``.``, ``!``, ``?`` or a line end. Long ones are cut further after
 words picked by their own hash (one in eight), so that a passage set into another
-sentence lines up again after a few words. A run starts at every sentence and takes
-at least ``RUN_SENTENCES`` of them and ``RUN_WORDS`` words; its hash has 96 bits and
-covers the words with A-Z as a-z.
+sentence lines up again after a few words; what is shorter than ``LEAST_WORDS`` words is
+joined with what follows. A run is ``RUN_SENTENCES`` sentences in a row, starting at every
+one; its hash has 96 bits and covers the words with A-Z as a-z.
 
 The first place of a run is the one in the smallest doc_id, and there the leftmost. At
 every other place all its sentences go, with the white space after them. The runs are
@@ -31,12 +31,24 @@ from tillgrain.llm.support import importable, map_batches, texts_of
 from tillgrain.llm.words import mix, run_hashes, word_hashes
 
 RUN_SENTENCES = 3
-RUN_WORDS = 12
+LEAST_WORDS = 4
 _CUT_ONE_IN = 8
 _SECOND_BASE = 0xD6E8FEB86659FD93
 _ENDINGS = np.isin(np.arange(256), list(b".!?"))
 
 
+def _joined(ends: np.ndarray) -> np.ndarray:
+    """The ends that leave at least LEAST_WORDS words since the last one; always the last."""
+    following = np.searchsorted(ends, ends + LEAST_WORDS).tolist()
+    at, kept = int(np.searchsorted(ends, LEAST_WORDS - 1)), []
+    while at < ends.size:
+        kept.append(at)
+        at = following[at]
+    if not kept or kept[-1] != ends.size - 1:
+        kept.append(ends.size - 1)
+    return ends[kept]
+
+
 class Sentences:
     """Bounds of a text's sentences and the hashes of its runs."""
 
@@ -52,7 +64,7 @@ class Sentences:
         final[:-1] |= line[starts[1:]] != line[ends[:-1]]
         final |= mix(self.words, 3) % np.uint64(_CUT_ONE_IN) == 0
         final[last] = True
-        self.last = np.flatnonzero(final)
+        self.last = _joined(np.flatnonzero(final))
         self.first = np.concatenate([[0], self.last[:-1] + 1])
         self.byte_starts = starts[self.first]
 
@@ -61,10 +73,8 @@ class Sentences:
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First and last sentence, and two hashes, of the run starting at each sentence."""
-        begin = np.arange(len(self))
-        end = np.searchsorted(self.last, self.first + RUN_WORDS - 1)
-        end = np.maximum(end, begin + RUN_SENTENCES - 1)
-        begin, end = begin[end < len(self)], end[end < len(self)]
+        begin = np.arange(max(0, len(self) - RUN_SENTENCES + 1))
+        end = begin + RUN_SENTENCES - 1
         if begin.size == 0:
             none = np.zeros(0, dtype=np.int64)
             return begin, end, none, none.astype(np.int32)
@@ -127,8 +137,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     every = runs(docs)
     shared = (
         every.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-        .where("first_id < last_id")
+        .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("texts"))
+        .where("texts > 1")
         .select("h1", "h2", "first_id")
     )
     return (
