@@ -166,6 +166,32 @@ def test_late_line_within_a_known_month(spark, filtered, earlier):
     assert same(merged, snapshot.composite_grain(current, STAR_RULES))
 
 
+def test_moved_and_vanished_months(spark, filtered, earlier):
+    """Late copies that move a first, a middle and a last month, and a customer who is gone."""
+    before, target = earlier
+    days = before.select("customer_id", F.col("invoice_date").alias("d")).where("customer_id IS NOT NULL")
+    spans = days.groupBy("customer_id").agg(F.min("d").alias("a"), F.max("d").alias("z"), F.count("*").alias("n"))
+    some = [r.customer_id for r in spans.where("n > 8").orderBy("customer_id").limit(4).collect()]
+    months = F.expr("INTERVAL 40 DAYS")
+    date_, who = F.col("invoice_date"), F.col("customer_id")
+    ends = spans.select("customer_id", "a", "z")
+    moved = before.join(F.broadcast(ends), "customer_id", "left").withColumn(
+        "invoice_date",
+        F.when((who == some[0]) & (date_ == F.col("a")), date_ + months)
+        .when((who == some[1]) & (date_ == F.col("z")), date_ - months)
+        .when((who == some[2]) & (date_ > F.col("a")) & (date_ < F.col("z")), F.col("z"))
+        .otherwise(date_),
+    ).where(~F.coalesce(who == some[3], F.lit(False))).select(*before.columns)
+    current = materialise(spark, moved, "moved")
+    full = snapshot.composite_grain(current, STAR_RULES)
+    assert not same(target, full)
+    assert same(incremental.grain_incremental(target, current, STAR_RULES, "affected_customers"), full)
+    metrics = materialise(spark, rfm.rfm_full_refresh(before, STAR_RULES), "metrics")
+    monthly = materialise(spark, rfm.monthly_transactions(before), "monthly")
+    got = incremental.rfm_of_affected(metrics, monthly, current, STAR_RULES)
+    assert same(got, rfm.rfm_full_refresh(current, STAR_RULES))
+
+
 def test_rfm_incremental_reprocesses_the_look_back(spark, filtered, earlier):
     before, target_grain = earlier
     target = materialise(spark, rfm.rfm_full_refresh(before, STAR_RULES), "target_rfm")

@@ -67,6 +67,23 @@ def test_line_lengths(spark, tmp_path):
         ingest.read_csv(spark, str(path)).collect()
 
 
+def test_quoted_line_breaks_need_the_option(spark, tmp_path):
+    path = tmp_path / "broken.csv"
+    path.write_text(HEADER + '1,A,X,1,2009-12-01,1,1,"United\nKingdom"\n2,B,Y,1,2009-12-01,1,1,France\n')
+    with pytest.raises(Exception, match="multi_line"):
+        ingest.read_csv(spark, str(path)).collect()
+    rows = ingest.read_csv(spark, str(path), multi_line=True).collect()
+    assert [r.country for r in rows] == ["United\nKingdom", "France"]
+
+
+def test_usual_dates_by_default(spark):
+    texts = ["12/1/2010 8:26", "2010-12-01 08:26:00", "2010", "1/2/2010", "13/13/2010 8:26", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.d for r in rows.select(ingest.parse_timestamp(rows.t).alias("d")).collect()]
+    day = datetime(2010, 12, 1, 8, 26)
+    assert got == [day, day, None, datetime(2010, 1, 2), None, None]
+
+
 def test_bad_number_fails_the_load(spark, tmp_path):
     path = tmp_path / "bad.csv"
     path.write_text(HEADER + "1,A,X,many,2009-12-01,1,1,France\n")
@@ -86,6 +103,7 @@ def test_append_log_and_verify(spark, csv_file, tmp_path):
     log = load.log.collect()
     assert [(r.filename, r.row_count) for r in log] == [("retail.csv", 4)] * 2
     assert len({r.id for r in log}) == 2
+    assert [r.unparsed_dates for r in log] == [2, 2]
     assert log[0].file_size_mb == csv_file.stat().st_size / 1024 / 1024
     check = ingest.verify_load(load.raw).first()
     assert tuple(check) == (8, 4, 3, 3, 3)

@@ -7,9 +7,11 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as app
+import duckdb_oracle
 from compare import TABLES, compare
+from tillgrain.plans import catalog
 
-QUERIES, SQL = app.queries(), app.oracle_sql()
+QUERIES, SQL = catalog.queries(), duckdb_oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +24,7 @@ def con():
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= app.queries().keys() and SQL.keys() <= app.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -25,11 +25,9 @@ def month_dimension(spark: SparkSession, rules: CleanRules) -> DataFrame:
     return _described(spark.range(1).select(F.explode(months).alias("month_start")))
 
 
-def month_dimension_of(lines: DataFrame, rules: CleanRules) -> DataFrame:
-    """One row per month from the first to the last dated line, the future left out."""
-    spanned = lines.where(F.col("invoice_date") <= rules.now()).agg(
-        month_of(F.min("invoice_date")).alias("low"),
-        month_of(F.max("invoice_date")).alias("high"),
+def with_line_counts(dimension: DataFrame, lines: DataFrame) -> DataFrame:
+    """The dimension with the number of lines dated in each month."""
+    counted = lines.groupBy(month_of(F.col("invoice_date")).alias("month_start")).agg(
+        F.count(F.lit(1)).alias("n_lines")
     )
-    months = months_between(F.col("low"), F.col("high"))
-    return _described(spanned.select(F.explode(months).alias("month_start")))
+    return dimension.join(counted, "month_start", "left").fillna(0, ["n_lines"])

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillgrain.rules import ROW_KEY
-from tillgrain.sources.tables import materialise
 
 STAGED_TIE_BREAK = ("quantity", "unit_price", "customer_id", "country")
-# Bounds of the key list that is broadcast.
-MAX_BROADCAST_KEYS = 200_000
-MAX_BROADCAST_BYTES = 64 << 20
+# Rows of one key that a task ranks by itself; a key with more is split.
+HOT_ROWS = 1_000_000
 
 RAW_TIE_BREAK = ("quantity", "unit_price", "customer_id", "country", "description")
 
@@ -39,48 +37,33 @@ def key_counts(raw: DataFrame) -> DataFrame:
     return raw.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("occurrence_count"))
 
 
-def mark_duplicates(
-    spark: SparkSession, raw: DataFrame, max_keys: int = MAX_BROADCAST_KEYS
-) -> DataFrame:
+def mark_duplicates(raw: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``is_duplicate``: 0 on the earliest row of each key, 1 on the others.
 
-    Only rows whose key occurs more than once can be duplicates. Those keys are
-    found and stored first (counted per task before the shuffle). When they are
-    few, they are broadcast, every other row is finished without a shuffle and
-    the rows that share a key are ranked in two steps, see ``_rank_by_slice``.
-
-    When they are many, only the hottest are broadcast: fewer than n keys can
-    each hold more than 1/n of the rows. What remains has no key above that size
-    and is ranked by one ordinary window. n is at most ``max_keys``, and less
-    when keys are so long that their text would exceed ``MAX_BROADCAST_BYTES``.
+    Keys of more than ``hot_rows`` rows are split: their rows are ranked in two steps,
+    see ``_rank_by_slice``. Every other key fits into one task and is ranked by one
+    ordinary window. Hot keys are told by a 64-bit hash of the key, counted with partial
+    aggregation; their hashes are broadcast, eight bytes each and fewer of them than
+    rows / ``hot_rows``, however long the keys are. A cold key that shares the hash of a
+    hot one is ranked with it in two steps, by its own key all the same.
     """
-    repeated = materialise(
-        spark, key_counts(raw).where(F.col("occurrence_count") > 1), "repeated_keys"
-    )
-    size = repeated.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.sum("occurrence_count"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max(F.octet_length(F.concat_ws("", *ROW_KEY))), F.lit(0)).alias("longest"),
-    ).first()
-    limit = max(1, min(max_keys, MAX_BROADCAST_BYTES // max(1, size["longest"])))
-    few = size["keys"] <= limit
-    split = repeated if few else repeated.where(
-        F.col("occurrence_count") > size["rows"] // limit
-    )
-    keys = F.broadcast(split.select(*[F.col(k).alias(f"_{k}") for k in ROW_KEY]))
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ROW_KEY]
+    hashed = raw.withColumn("_hash", F.xxhash64(*ROW_KEY))
+    hot = F.broadcast(
+        hashed.groupBy("_hash")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > hot_rows)
+        .select("_hash")
     )
     order = [F.col("invoice_date").asc_nulls_last(), *_ascending(RAW_TIE_BREAK)]
-    rest = raw.join(keys, same_key, "left_anti")
-    if few:
-        rest = rest.withColumn("is_duplicate", F.lit(0))
-    else:
-        rank = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(*order))
-        rest = rest.withColumn("is_duplicate", F.when(rank > 1, 1).otherwise(0))
-    sliced = raw.withColumn("_slice", F.spark_partition_id())
-    ranked = _rank_by_slice(sliced.join(keys, same_key, "left_semi"), order)
-    return rest.unionByName(ranked)
+    rank = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(*order))
+    rest = (
+        hashed.join(hot, "_hash", "left_anti")
+        .withColumn("is_duplicate", F.when(rank > 1, 1).otherwise(0))
+        .drop("_hash")
+    )
+    sliced = hashed.withColumn("_slice", F.spark_partition_id())
+    split = sliced.join(hot, "_hash", "left_semi").drop("_hash")
+    return rest.select(*raw.columns, "is_duplicate").unionByName(_rank_by_slice(split, order))
 
 
 def _rank_by_slice(rows: DataFrame, order: list[Column]) -> DataFrame:

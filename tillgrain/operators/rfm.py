@@ -85,6 +85,12 @@ def rfm_full_refresh(filtered: DataFrame, rules: CleanRules) -> DataFrame:
     totals already hold the active months, so the running totals are taken over
     them and carried into the inactive months that follow.
     """
-    running = _dated_months(filtered).withColumns(_running_totals())
+    return rfm_of_months(monthly_transactions(filtered), rules)
+
+
+def rfm_of_months(monthly: DataFrame, rules: CleanRules) -> DataFrame:
+    """The same from monthly totals."""
+    dated = monthly.withColumnRenamed("txn_month", "month").where(F.col("month").isNotNull())
+    running = dated.withColumns(_running_totals())
     carried = running.drop("txn_count", "total_revenue", "last_invoice_date")
     return fill_months(carried, rules).select(*GRAIN, *_metrics())

@@ -125,24 +125,52 @@ def look_back_start(target: DataFrame) -> Column:
     return target.agg(F.add_months(latest, -LOOK_BACK_MONTHS).alias("since")).scalar()
 
 
-def rebuilt_grain(target: DataFrame, filtered: DataFrame, rules: CleanRules) -> DataFrame:
-    """All snapshots of the customers whose snapshots in the target are out of date.
+def outdated_customers(
+    target: DataFrame, active: DataFrame, rules: CleanRules
+) -> DataFrame:
+    """Customers whose snapshots in the target are not those of the activity months.
 
-    Those are the customers with an active month the target lacks or shows as
-    inactive. A month beyond the dimension calls for the dimension's last month.
+    Both sides shrink to one row per customer: span and set of active months. They are
+    compared in full, so that months which moved or vanished count like new ones, and
+    customers without any snapshot left as well. A customer has at most one activity row
+    per calendar month.
     """
-    active = activity_months(filtered)
-    needed = active.where(F.col("activity_month") >= rules.dim_low()).select(
-        "customer_id",
-        F.least("activity_month", rules.dim_high()).alias("snapshot_date"),
-        (F.col("activity_month") <= rules.dim_high()).alias("_active"),
+    low, high = rules.dim_low(), rules.dim_high()
+    within = F.when(F.col("activity_month") <= high, F.col("activity_month"))
+    expected = (
+        active.where(F.col("activity_month").isNotNull())
+        .groupBy("customer_id")
+        .agg(
+            F.min("activity_month").alias("first"),
+            F.least(F.max("activity_month"), high).alias("last"),
+            F.sort_array(F.collect_set(within)).alias("months"),
+        )
+        .where(F.col("first").between(low, high))
     )
-    known = target.select("customer_id", "snapshot_date", "had_activity")
-    outdated = F.col("had_activity").isNull() | (F.col("_active") & ~F.col("had_activity"))
-    affected = (
-        needed.join(known, ["customer_id", "snapshot_date"], "left")
-        .where(outdated)
-        .select("customer_id")
-        .distinct()
+    known = target.groupBy("customer_id").agg(
+        F.min("snapshot_date").alias("known_first"),
+        F.max("snapshot_date").alias("known_last"),
+        F.sort_array(
+            F.collect_set(F.when(F.col("had_activity"), F.col("snapshot_date")))
+        ).alias("known_months"),
     )
-    return grain_of_activity(active.join(affected, "customer_id", "left_semi"), rules)
+    same = (
+        F.col("first").eqNullSafe(F.col("known_first"))
+        & F.col("last").eqNullSafe(F.col("known_last"))
+        & F.col("months").eqNullSafe(F.col("known_months"))
+    )
+    return expected.join(known, "customer_id", "full").where(~same).select("customer_id")
+
+
+def replace_customers(target: DataFrame, customers: DataFrame, rebuilt: DataFrame) -> DataFrame:
+    """The target with all rows of these customers replaced by the rebuilt ones, if any."""
+    kept = target.join(customers, "customer_id", "left_anti")
+    return kept.unionByName(rebuilt.select(*target.columns))
+
+
+def grain_of_affected(target: DataFrame, filtered: DataFrame, rules: CleanRules) -> DataFrame:
+    """The target with every customer rebuilt whose snapshots are out of date."""
+    active = activity_months(filtered)
+    affected = outdated_customers(target, active, rules)
+    rebuilt = grain_of_activity(active.join(affected, "customer_id", "left_semi"), rules)
+    return replace_customers(target, affected, rebuilt)

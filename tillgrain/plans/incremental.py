@@ -2,8 +2,10 @@
 
 ``look_back`` reprocesses the months from one before the target's latest. A
 customer who returns after a longer gap then misses the months in between.
-``affected_customers`` instead rebuilds every customer with an active month the
-target does not know, which gives the same rows as a full refresh.
+``affected_customers`` instead rebuilds every customer whose active months differ from
+the target's, new, moved and vanished ones alike, and drops customers without any; this
+gives the same rows as a full refresh. The metrics follow the customers whose monthly
+totals differ from those stored by the earlier run.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ def grain_incremental(
         delta = grain_delta(target, filtered, rules)
         return upsert(target, delta, GRAIN_KEY, settled=_before(look_back_start(target)))
     if mode == "affected_customers":
-        return upsert(target, snapshot.rebuilt_grain(target, filtered, rules), GRAIN_KEY)
+        return snapshot.grain_of_affected(target, filtered, rules)
     raise ValueError(f"mode must be one of {MODES}")
 
 
@@ -53,6 +55,31 @@ def rfm_incremental(target: DataFrame, grain: DataFrame, filtered: DataFrame) ->
     return upsert(target, delta, GRAIN_KEY, settled=_before(look_back_start(target)))
 
 
+def rfm_of_affected(
+    target: DataFrame, monthly_before: DataFrame, filtered: DataFrame, rules: CleanRules
+) -> DataFrame:
+    """Target with every customer rebuilt whose monthly totals changed.
+
+    ``monthly_before`` are the totals that the target was made from. Only the comparison
+    reads all months; running totals are taken for changed customers alone.
+    """
+    totals = ("txn_count", "total_revenue", "last_invoice_date")
+    key = ["customer_id", "txn_month"]
+    monthly = rfm_op.monthly_transactions(filtered).where("txn_month IS NOT NULL")
+    before = monthly_before.where("txn_month IS NOT NULL").select(
+        *key, *[F.col(c).alias(f"_{c}") for c in totals]
+    )
+    equal = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in totals]
+    changed = (
+        monthly.join(before, key, "full")
+        .where(~(equal[0] & equal[1] & equal[2]))
+        .select("customer_id")
+        .distinct()
+    )
+    rebuilt = rfm_op.rfm_of_months(monthly.join(changed, "customer_id", "left_semi"), rules)
+    return snapshot.replace_customers(target, changed, rebuilt)
+
+
 def refresh_stored(
     spark: SparkSession, out_dir: str, filtered: DataFrame, rules: CleanRules
 ) -> tuple[DataFrame, DataFrame]:

@@ -20,7 +20,7 @@ from tillgrain.operators.checks import (
     unique,
     unique_combination,
 )
-from tillgrain.rules import DQ_MODEL, GRADES, GRAIN_KEY, LOWEST_GRADE, ROW_KEY
+from tillgrain.rules import DQ_MODEL, GRADES, GRAIN_KEY, LOWEST_GRADE, ROW_KEY, CleanRules
 
 
 def _present(table: str, *columns: str) -> list[Check]:
@@ -215,7 +215,7 @@ def consistency_checks() -> list[Check]:
     ]
 
 
-def scorecard_checks() -> list[Check]:
+def scorecard_checks(rules: CleanRules) -> list[Check]:
     t = "dq_summary"
     return [
         *_present(t, "dimension", "check_name", "metric_name", "status", "run_at"),
@@ -229,8 +229,8 @@ def scorecard_checks() -> list[Check]:
         expression_is_true(
             t,
             "status_matches_rate",
-            "status = CASE WHEN rate >= 0.99 THEN 'PASS'"
-            " WHEN rate >= 0.95 THEN 'WARN' ELSE 'FAIL' END",
+            f"status = CASE WHEN rate >= {rules.pass_rate} THEN 'PASS'"
+            f" WHEN rate >= {rules.warn_rate} THEN 'WARN' ELSE 'FAIL' END",
         ),
     ]
 
@@ -272,10 +272,11 @@ def usable_checks() -> list[Check]:
     ]
 
 
-def all_checks() -> list[Check]:
+def all_checks(rules: CleanRules | None = None) -> list[Check]:
+    """Every declared check; what depends on thresholds follows the given rules."""
     sections = (
-        staging_checks, transaction_checks, dimension_checks, fact_checks,
-        completeness_checks, validity_checks, uniqueness_checks, consistency_checks,
-        scorecard_checks, row_flag_checks, usable_checks,
+        staging_checks(), transaction_checks(), dimension_checks(), fact_checks(),
+        completeness_checks(), validity_checks(), uniqueness_checks(), consistency_checks(),
+        scorecard_checks(rules or CleanRules()), row_flag_checks(), usable_checks(),
     )
-    return [check for section in sections for check in section()]
+    return [check for section in sections for check in section]

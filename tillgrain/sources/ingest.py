@@ -16,7 +16,9 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 
     Columns are named by position: a header of another length raises here, a
     line with more values when it is read. A shorter line ends in unknown
-    values. Set ``multi_line`` for quoted line breaks (such files cannot be split).
+    values. A quote left open, or closed without having been opened, fails the read and
+    names the option: set ``multi_line`` for quoted line breaks (such files cannot be
+    split).
     """
     reader = (
         spark.read.option("header", True)
@@ -25,12 +27,19 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
         .option("multiLine", multi_line)
     )
     reader.csv(path).toDF(*RAW_COLUMNS)
-    fields = [f"{c} STRING" for c in (*RAW_COLUMNS, "_surplus")]
-    text = reader.schema(", ".join(fields)).csv(path)
+    # Every line is one value short of this schema, so its own text comes along.
+    fields = [f"{c} STRING" for c in (*RAW_COLUMNS, "_surplus", "_line")]
+    text = reader.option("columnNameOfCorruptRecord", "_line").schema(", ".join(fields)).csv(path)
     too_long = F.raise_error(F.lit(f"line with more than {len(RAW_COLUMNS)} values"))
     checked = {c: _known(c) for c in RAW_COLUMNS}
     first = RAW_COLUMNS[0]
-    checked[first] = F.when(F.col("_surplus").isNotNull(), too_long).otherwise(checked[first])
+    quotes = F.length("_line") - F.length(F.replace(F.col("_line"), F.lit('"'), F.lit("")))
+    broken = F.raise_error(F.lit("quote without its other end: read with multi_line"))
+    checked[first] = (
+        F.when(F.col("_surplus").isNotNull(), too_long)
+        .when(F.lit(not multi_line) & (quotes % 2 == 1), broken)
+        .otherwise(checked[first])
+    )
     return text.select(*[c.alias(name) for name, c in checked.items()])
 
 
@@ -38,14 +47,19 @@ def _known(name: str) -> Column:
     return F.when(~F.col(name).isin(*MISSING_TOKENS), F.col(name))
 
 
-def parse_timestamp(text: Column, formats: Sequence[str] = ()) -> Column:
-    """ISO text, or one of the extra formats, to a zone-less timestamp; else NULL."""
-    parsed = [text.try_cast("timestamp_ntz")]
+# Formats tried after ISO text, in this order; the month comes first.
+DATE_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy/M/d H:mm", "d.M.yyyy H:mm")
+_DAY = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+
+
+def parse_timestamp(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """ISO text with a day, or one of the formats, to a zone-less timestamp; else NULL."""
+    parsed = [F.when(text.rlike(_DAY), text).try_cast("timestamp_ntz")]
     parsed += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(*parsed)
 
 
-def typed(text: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
+def typed(text: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Raw schema. A bad date becomes NULL, a bad number fails the load."""
     return text.withColumns(
         {
@@ -72,19 +86,24 @@ def ingest_csv(
     path: str,
     raw_path: str,
     log_path: str,
-    date_formats: Sequence[str] = (),
+    date_formats: Sequence[str] = DATE_FORMATS,
     multi_line: bool = False,
 ) -> Load:
     """Append the file to the raw table and one line to the import log.
 
     Loading a file twice adds its rows twice. The row count in the log is taken
-    from the rows as they are written, so the file is read once.
+    from the rows as they are written, so the file is read once; so is the number of
+    dates that no format fits.
     """
-    lines = typed(read_csv(spark, path, multi_line), date_formats)
+    text = read_csv(spark, path, multi_line).withColumn("_date", F.col("invoice_date"))
+    lines = typed(text, date_formats)
+    unparsed = F.col("_date").isNotNull() & F.col("invoice_date").isNull()
     written = Observation()
     lines = lines.withColumn("imported_at", F.current_timestamp()).observe(
-        written, F.count(F.lit(1)).alias("row_count")
-    )
+        written,
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(unparsed).alias("unparsed_dates"),
+    ).drop("_date")
     lines.write.mode("append").parquet(raw_path)
     entry = file_sizes(spark, path).agg(
         F.expr("uuid()").alias("id"),
@@ -92,6 +111,7 @@ def ingest_csv(
         F.lit(path.rstrip("/").rsplit("/", 1)[-1]).alias("filename"),
         F.lit(written.get["row_count"]).cast("bigint").alias("row_count"),
         (F.sum("length") / (1024 * 1024)).alias("file_size_mb"),
+        F.lit(written.get["unparsed_dates"]).cast("bigint").alias("unparsed_dates"),
     )
     entry.write.mode("append").parquet(log_path)
     return Load(spark.read.parquet(raw_path), spark.read.parquet(log_path))

@@ -76,15 +76,20 @@ def merge_into_partitions(
     """Upsert that rewrites only the partitions the delta touches.
 
     ``partition_column`` must be one of the keys, so that a row and its
-    replacement share a partition. The merged rows are staged first: the old
-    partitions are replaced only by data already written in full.
+    replacement share a partition. The merged rows are staged first, in a folder
+    ``merged-*`` of the shared folder: the old partitions are replaced only by data already
+    written in full. A write that breaks off may leave some partitions new and some old;
+    running the same merge again, which is idempotent, completes it.
     """
     if partition_column not in keys:
         raise ValueError("the partition column must be part of the key")
     staged_delta = materialise(spark, delta, "delta")
-    # One value per partition directory: small, and it prunes the scan of the target.
+    # One value per partition directory: small. The bounds, as scalar subqueries, prune the
+    # scan of the target to the span of the delta; the join leaves the months in between.
     touched = F.broadcast(staged_delta.select(partition_column).distinct())
-    target = spark.read.parquet(path)
+    low = staged_delta.agg(F.min(partition_column)).scalar()
+    high = staged_delta.agg(F.max(partition_column)).scalar()
+    target = spark.read.parquet(path).where(F.col(partition_column).between(low, high))
     replaced = target.join(touched, partition_column, "left_semi").select(*target.columns)
     merged = materialise(spark, upsert(replaced, staged_delta, keys), "merged")
     (
