@@ -4,7 +4,7 @@ Two histograms of each document are compared with those of every language by the
 Jensen-Shannon distance: classes of characters, and the language's common words with one
 cell for all other words. The languages' histograms are sums over all documents with a
 non-null ``lang``; common words are the most frequent words of up to ``WORD_LETTERS``
-letters. A document fails when even its nearest language is farther than the limit. Short documents
+characters, as written. A document fails when even its nearest language is farther than the limit. Short documents
 scatter by chance, so a histogram is only judged from its minimum length on, and
 between that and ``SETTLED`` times it the limit is wider.
 
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillgrain.llm.support import materialise
+
 BLANKS = r"\x20\x09-\x0D"
 SYMBOLS = r"#*$%&|<>"
 # Fixed values of the base rules.
@@ -37,15 +39,13 @@ WORD_LIMIT = 0.3
 WORD_LENGTH = 50
 SETTLED = 4
 
-# Each class is what remains when all other characters are removed; the rest is "other".
+# Classes of characters; all others, letters for the most part, are the last class.
 CLASSES = {
-    "upper": r"[^\p{Lu}]+",
-    "vowel": r"[^aeiou]+",
-    "accented": r"[\x00-\x7F\p{Lu}]+",
-    "digit": r"[^0-9]+",
-    "stop": r"[^.,;:?!'\"()-]+",
-    "symbol": rf"[^{SYMBOLS}]+",
-    "blank": rf"[^{BLANKS}]+",
+    "upper": r"\p{Lu}",
+    "accented": r"[^\x00-\x7F&&[^\p{Lu}]]",
+    "digit": r"[0-9]",
+    "stop": r"[.,;:?!'\"()-]",
+    "symbol": rf"[{SYMBOLS}]",
 }
 
 
@@ -62,8 +62,8 @@ def _with_words(docs: DataFrame) -> DataFrame:
 
 def _class_counts(text: Column) -> Column:
     """Characters per class, and the others."""
-    kept = [F.length(F.regexp_replace(text, cut, "")) for cut in CLASSES.values()]
-    return F.array(*[k.cast("bigint") for k in kept], F.length(text).cast("bigint"))
+    counts = [F.regexp_count(text, F.lit(of_class)) for of_class in CLASSES.values()]
+    return F.array(*[n.cast("bigint") for n in counts], F.length(text).cast("bigint"))
 
 
 def _split_rest(counts: Column) -> Column:
@@ -124,7 +124,7 @@ def base_rules(docs: DataFrame) -> DataFrame:
         "words",
         F.size("words").cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
-        F.length(F.regexp_replace("t", CLASSES["symbol"], "")).cast("bigint").alias("n_symbols"),
+        F.regexp_count("t", F.lit(CLASSES["symbol"])).cast("bigint").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint").alias("n_dup_lines"),
         repeated_words(F.col("words"), F.col("_w")).alias("n_repeat_words"),
     ).withColumn(
@@ -149,10 +149,14 @@ def references(docs: DataFrame) -> dict[str, tuple[list[float], list[str], list[
     sums = [F.sum(F.get("c", F.lit(k))).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
     classes = counted.groupBy("lang").agg(*sums).collect()
     each = _with_words(labelled).select("lang", F.explode("words").alias("w"))
-    short = F.col("w").rlike(rf"^\p{{L}}{{1,{WORD_LETTERS}}}$")
-    # All other words meet in one cell per language before they are shuffled.
-    words = each.groupBy("lang", F.when(short, F.lower("w")).alias("w")).agg(
-        F.count(F.lit(1)).alias("n")
+    # All longer words meet in one cell per language before they are shuffled. The counts
+    # are stored, as both the common words and the totals come from them.
+    words = materialise(
+        docs.sparkSession,
+        each.groupBy("lang", F.when(F.length("w") <= WORD_LETTERS, F.col("w")).alias("w")).agg(
+            F.count(F.lit(1)).alias("n")
+        ),
+        "words",
     )
     top = Window.partitionBy("lang").orderBy(F.col("n").desc(), "w")
     common = (
@@ -176,7 +180,7 @@ def references(docs: DataFrame) -> dict[str, tuple[list[float], list[str], list[
 # -- distances ----------------------------------------------------------------------
 
 
-def jensen_shannon(counts: Column, sum_of_counts: Column, reference: list[float]) -> Column:
+def jensen_shannon(counts: Column, sum_of_counts: Column, reference: Column) -> Column:
     """Distance (base 2) of a histogram of counts from shares; 1 where it is empty.
 
     The sum is a column of its own: inside the lambda it would be added up per cell.
@@ -191,7 +195,7 @@ def jensen_shannon(counts: Column, sum_of_counts: Column, reference: list[float]
         m = (p + q) / 2
         return (part(p, m) + part(q, m)) / 2
 
-    cells = F.zip_with(counts, F.array(*[F.lit(q) for q in reference]), cell)
+    cells = F.zip_with(counts, reference, cell)
     sum_ = F.aggregate(cells, F.lit(0.0), lambda a, x: a + x)
     return F.when(sum_of_counts > 0, F.sqrt(F.greatest(sum_, F.lit(0.0)))).otherwise(F.lit(1.0))
 
@@ -217,33 +221,40 @@ def judge(docs: DataFrame) -> DataFrame:
             none.alias("js_words"),
         )
     every = sorted({w for _, words, _ in known.values() for w in words})
-    lowered = F.transform("words", lambda w: F.lower(w))
     counted = based.withColumn("_c", _class_counts(F.col("t"))).withColumn(
-        "_common", F.filter(lowered, lambda w: w.isin(every)) if every else F.array().cast("array<string>")
+        "_common", F.filter("words", lambda w: w.isin(every)) if every else F.array().cast("array<string>")
     )
     counted = counted.withColumn("_c", _split_rest(F.col("_c")))
 
-    def word_counts(words: list[str]) -> Column:
-        if not words:
-            return F.array(F.col("n_words"))
-        n = F.transform(
-            F.array(*[F.lit(w) for w in words]),
-            lambda v: (F.size("_common") - F.size(F.array_remove("_common", v))).cast("bigint"),
-        )
-        return F.transform(F.array(n), lambda c: F.concat(c, F.array(F.col("n_words") - _total(c))))[0]
-
-    counted = counted.withColumn("_length", F.length("t")).withColumns(
-        {f"_w{k}": word_counts(words) for k, (_, words, _) in enumerate(known.values())}
-    )
-    by_language = F.array(
+    # One array of references, folded to a literal: the plan does not grow with languages.
+    languages = F.array(
         *[
             F.struct(
-                jensen_shannon(F.col("_c"), F.col("_length"), classes).alias("characters"),
-                jensen_shannon(F.col(f"_w{k}"), F.col("n_words"), shares).alias("words"),
+                F.array(*[F.lit(x) for x in classes]).alias("characters"),
+                F.array(*[F.lit(w) for w in words]).cast("array<string>").alias("words"),
+                F.array(*[F.lit(x) for x in shares]).alias("shares"),
             )
-            for k, (classes, _, shares) in enumerate(known.values())
+            for classes, words, shares in known.values()
         ]
     )
+
+    def word_counts(words: Column) -> Column:
+        found = F.transform(
+            words,
+            lambda v: (F.size("_common") - F.size(F.array_remove("_common", v))).cast("bigint"),
+        )
+        return F.transform(
+            F.array(found), lambda c: F.concat(c, F.array(F.col("n_words") - _total(c)))
+        )[0]
+
+    counted = counted.withColumn("_length", F.length("t"))
+    by_language = F.transform(
+        languages,
+        lambda r: F.struct(
+            jensen_shannon(F.col("_c"), F.col("_length"), r["characters"]).alias("characters"),
+            jensen_shannon(word_counts(r["words"]), F.col("n_words"), r["shares"]).alias("words"),
+        ),
+    )
     total = F.col("_length")
     characters = F.col("_near.characters") / _limit(CHARACTER_LIMIT, total, CHARACTER_LENGTH)
     words = F.col("_near.words") / _limit(WORD_LIMIT, F.col("n_words"), WORD_LENGTH)
