@@ -19,6 +19,8 @@ like any other; columns besides doc_id, text and lang are ignored.
 from __future__ import annotations
 
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +55,11 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where a filter is pushed down."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _with_words(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select("doc_id", "lang", text.alias("t")).withColumn(
@@ -111,13 +118,15 @@ def repeated_words(words: Column, windows: Column) -> Column:
 
 def base_rules(docs: DataFrame) -> DataFrame:
     """doc_id, t, words and the base measures."""
-    with_hashes = _with_words(docs).withColumn("_h", F.transform("words", lambda w: F.xxhash64(w)))
-    windows = F.transform(
-        F.slice("_h", 1, F.greatest(F.size("_h") - 2, F.lit(0))),
-        lambda h, i: F.xxhash64(h, F.get("_h", i + 1), F.get("_h", i + 2)),
+    windows = _let(
+        F.transform("words", lambda w: F.xxhash64(w)),
+        lambda h: F.transform(
+            F.slice(h, F.lit(1), F.greatest(F.size(h) - 2, F.lit(0))),
+            lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)),
+        ),
     )
     lines = F.filter(F.split("t", "\n"), lambda line: line.rlike(f"[^{BLANKS}]"))
-    measured = with_hashes.withColumn("_w", windows).withColumn("_l", lines)
+    measured = _with_words(docs).withColumn("_w", windows).withColumn("_l", lines)
     return measured.select(
         "doc_id",
         "t",
@@ -238,21 +247,27 @@ def judge(docs: DataFrame) -> DataFrame:
         ]
     )
 
-    def word_counts(words: Column) -> Column:
+    def word_counts(d: Column, words: Column) -> Column:
+        common = d["common"]
         found = F.transform(
-            words,
-            lambda v: (F.size("_common") - F.size(F.array_remove("_common", v))).cast("bigint"),
+            words, lambda v: (F.size(common) - F.size(F.array_remove(common, v))).cast("bigint")
         )
-        return F.transform(
-            F.array(found), lambda c: F.concat(c, F.array(F.col("n_words") - _total(c)))
-        )[0]
+        return _let(found, lambda c: F.concat(c, F.array(d["n"] - _total(c))))
 
     counted = counted.withColumn("_length", F.length("t"))
-    by_language = F.transform(
-        languages,
-        lambda r: F.struct(
-            jensen_shannon(F.col("_c"), F.col("_length"), r["characters"]).alias("characters"),
-            jensen_shannon(word_counts(r["words"]), F.col("n_words"), r["shares"]).alias("words"),
+    by_language = _let(
+        F.struct(
+            F.col("_c").alias("c"),
+            F.col("_common").alias("common"),
+            F.col("_length").alias("length"),
+            F.col("n_words").alias("n"),
+        ),
+        lambda d: F.transform(
+            languages,
+            lambda r: F.struct(
+                jensen_shannon(d["c"], d["length"], r["characters"]).alias("characters"),
+                jensen_shannon(word_counts(d, r["words"]), d["n"], r["shares"]).alias("words"),
+            ),
         ),
     )
     total = F.col("_length")
