@@ -76,6 +76,36 @@ def test_regions_and_blocks_beyond_their_bounds_stay_whole(spark, monkeypatch):
     check(spark, rows)
 
 
+def around_a_far_text(seed, members=60, words=120):
+    """texts whose only links are pairs, around one of the smallest id linked with none"""
+    rng = random.Random(seed)
+    base = [f"b{k}" for k in range(words)]
+    rows = [(0, " ".join(base))]
+    for k in range(members):
+        text = list(base)
+        for at in rng.sample(range(0, words, 3), 14):
+            text[at] = f"n{k}x{at}"
+        rows.append((10 + k, " ".join(text)))
+        text[rng.randrange(words)] = "other"
+        rows.append((5000 - k, " ".join(text)))
+    return rows
+
+
+def test_members_of_an_over_full_region_meet_without_its_smallest(spark, monkeypatch):
+    monkeypatch.setattr(minhash_forest, "REGION_ROWS", 8)
+    monkeypatch.setattr(minhash_forest, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(minhash_forest, "SPLIT_ROWS", 8)
+    # All trees read the same values: one slicing of the region decides alone.
+    monkeypatch.setattr(minhash_forest, "_tree_rows", one_region)
+    rows = around_a_far_text(4)
+    assert len(set(brute_force(rows, 3, 85)[0].values())) > 50
+    check(spark, rows)
+
+
+def one_region(classes):
+    return classes.selectExpr("rep", "0 as tree", "1L as p4", "1L as p8")
+
+
 def test_five_words_and_four_fifths(spark):
     check(spark, near_copies(3, groups=4), size=5, percent=80)
 

@@ -18,8 +18,8 @@ Steps, each a Spark job whose rows follow the input:
 5. Components of the confirmed links.
 
 A class, region or block of any size is handled: keys are pre-aggregated, regions
-deepen, and what shares all eight values of a tree is dealt into slices that all hold
-the region's smallest member. A pair at the threshold misses all sixteen trees with a
+deepen, and what shares all eight values of a tree is dealt into slices, every two of
+which are compared as a task of their own. A pair at the threshold misses all sixteen trees with a
 probability of 1e-5 at depth four.
 
 Defined cases: a null or wordless text has an empty set and is linked with nothing.
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrain.llm.components import components
@@ -45,7 +45,7 @@ TREES = 16
 DEPTH = 8
 SHALLOW = 4
 HASHES = TREES * DEPTH
-# Bounds of what one task compares at once; nothing beyond them is dropped.
+# Bounds of what one task compares at once; beyond them, slices meet pair by pair.
 REGION_ROWS = 4096
 BLOCK_ROWS = 4096
 BLOCK_SHINGLES = 4_000_000
@@ -116,35 +116,46 @@ def _adaptive_regions(rows: DataFrame, keys: list[str], limit: int) -> DataFrame
     """Rows of regions with company, with ``r1``, ``r2``: the region at its own depth.
 
     Sizes are counted with partial aggregation. A region over the limit is divided
-    by the deeper prefix; one over it at full depth, by slices of the id's hash.
-    ``pivot`` is the region's smallest id, to be repeated in every slice.
+    by the deeper prefix; one over it at full depth is dealt into slices of half the
+    limit, and every two slices meet in a region of their own.
     """
     wide = rows.groupBy(*keys, "p4").agg(F.count(F.lit(1)).alias("c4")).where("c4 > 1")
     narrow = (
         rows.join(wide.where(F.col("c4") > limit).select(*keys, "p4"), [*keys, "p4"], "left_semi")
         .groupBy(*keys, "p4", "p8")
-        .agg(F.count(F.lit(1)).alias("c8"), F.min("rep").alias("pivot"))
+        .agg(F.count(F.lit(1)).alias("c8"))
     )
     placed = rows.join(wide, [*keys, "p4"]).join(narrow, [*keys, "p4", "p8"], "left")
-    slices = F.greatest(F.ceil(F.col("c8") / limit), F.lit(1))
     deep = F.col("c4") > limit
-    own = F.pmod(F.xxhash64("rep"), slices)
     placed = placed.where(~deep | (F.col("c8") > 1)).select(
         *rows.columns,
-        F.explode(
-            F.when(
-                deep & (F.col("rep") == F.col("pivot")),
-                F.sequence(F.lit(0).cast("bigint"), slices - 1),
-            ).otherwise(F.array(F.when(deep, own).otherwise(F.lit(0).cast("bigint"))))
-        ).alias("slice"),
+        *_slice_pairs(F.when(deep, F.col("c8")).otherwise(F.col("c4")), limit),
         F.when(deep, F.lit(DEPTH)).otherwise(F.lit(SHALLOW)).alias("depth"),
     )
-    region = [*keys, "p4", F.when(F.col("depth") == DEPTH, F.col("p8")).otherwise(F.lit(0)), "slice", "depth"]
+    placed = placed.select("*", F.explode("others").alias("other"))
+    region = [
+        *keys, "p4", F.when(F.col("depth") == DEPTH, F.col("p8")).otherwise(F.lit(0)), "depth",
+        F.least("own", "other"), F.greatest("own", "other"),
+    ]
     return placed.withColumn("r1", F.xxhash64(*region)).withColumn(
         "r2", F.xxhash64(F.lit("second"), *region)
     )
 
 
+def _slice_pairs(count: Column, limit: int) -> tuple[Column, Column]:
+    """``own``, the row's slice of a region of ``count`` rows, and ``others``, those it meets.
+
+    One slice meets itself; of several, each meets every other, so that any two rows
+    stand together in at least one pair of slices.
+    """
+    half = max(1, limit // 2)
+    slices = F.when(count > limit, F.ceil(count / half)).otherwise(F.lit(1)).cast("bigint")
+    own = F.pmod(F.xxhash64("rep", "tree"), slices)
+    every = F.sequence(F.lit(0).cast("bigint"), slices - 1)
+    others = F.when(slices > 1, F.array_remove(every, own)).otherwise(every)
+    return own.alias("own"), others.alias("others")
+
+
 def _stars(linked: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges from every member to the smallest id of its component (dense links)."""
     n = ids.size
