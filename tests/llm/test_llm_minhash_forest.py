@@ -106,6 +106,18 @@ def one_region(classes):
     return classes.selectExpr("rep", "0 as tree", "1L as p4", "1L as p8")
 
 
+def test_an_over_full_region_keeps_pairs_that_agree_no_deeper(spark, monkeypatch):
+    monkeypatch.setattr(minhash_forest, "REGION_ROWS", 8)
+    monkeypatch.setattr(minhash_forest, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(minhash_forest, "SPLIT_ROWS", 8)
+    monkeypatch.setattr(
+        minhash_forest,
+        "_tree_rows",
+        lambda classes: classes.selectExpr("rep", "0 as tree", "1L as p4", "rep as p8"),
+    )
+    check(spark, around_a_far_text(5, members=25))
+
+
 def test_five_words_and_four_fifths(spark):
     check(spark, near_copies(3, groups=4), size=5, percent=80)
 
