@@ -62,6 +62,24 @@ def test_a_passage_of_over_fifty_words_goes_from_all_but_the_first(spark):
         assert left <= 30
 
 
+def test_any_passage_of_over_fifty_words_shares_a_run():
+    rng = random.Random(7)
+    for trial in range(1500):
+        size = rng.randrange(51, 61)
+        passage = [f"p{rng.randrange(900)}" for _ in range(size)]
+        if trial % 5 == 0:
+            passage = [w + "." if rng.random() < 0.1 else w for w in passage]
+        breaks = (0, 1, 2, 3, 7)[trial % 5]
+        body = "".join(w + ("\n" if breaks and k % breaks == 0 else " ") for k, w in enumerate(passage))
+        found = []
+        for _ in range(2):
+            around = [" ".join(f"n{rng.random()}" for _ in range(rng.randrange(40))) for _ in range(2)]
+            glue = rng.choice([" ", "\n", ". "])
+            _, _, one, two = Sentences(f"{around[0]}{glue}{body}{glue}{around[1]}".encode()).runs()
+            found.append(set(zip(one.tolist(), two.tolist(), strict=True)))
+        assert found[0] & found[1], (trial, body)
+
+
 def test_unrelated_documents_stay_as_they_are(spark):
     rng = random.Random(6)
     licence = "Licensed under the Example License, Version 2.0."

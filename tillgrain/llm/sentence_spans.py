@@ -1,10 +1,16 @@
 """Substring dedup: sentences inside a run of sentences that stood earlier are removed.
 
-Sentences end at ``.``, ``!``, ``?`` or a line end. Long ones are cut further after
-words picked by their own hash (one in eight), so that a passage set into another
-sentence lines up again after a few words; what is shorter than ``LEAST_WORDS`` words is
-joined with what follows. A run is ``RUN_SENTENCES`` sentences in a row, starting at every
-one; its hash has 96 bits and covers the words with A-Z as a-z.
+Sentences end at ``.``, ``!``, ``?`` or a line end. Long ones are cut further: of
+``WINDOW`` words in a row without an end, the one of the smallest hash ends a piece. Each
+end depends on the words around it alone, never on where the text starts. A run starts at
+every sentence and has at least ``RUN_SENTENCES`` sentences and ``RUN_WORDS`` words
+(``TAIL_WORDS`` where the text ends); its hash has 96 bits and covers the words with A-Z as
+a-z.
+
+In a passage that stands in two texts, the ends from the word WINDOW on to the word WINDOW
+before its last are the same in both and at most WINDOW words apart. So every passage of
+6 * WINDOW words or more holds a run, whatever its lines, stops and neighbours; up to two
+windows of words at its start and three at its end can stay.
 
 The first place of a run is the one in the smallest doc_id, and there the leftmost. At
 every other place all its sentences go, with the white space after them. The runs are
@@ -24,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,22 +38,21 @@ from tillgrain.llm.support import importable, map_batches, texts_of
 from tillgrain.llm.words import mix, run_hashes, word_hashes
 
 RUN_SENTENCES = 3
-LEAST_WORDS = 4
-_CUT_ONE_IN = 8
+RUN_WORDS = 12
+TAIL_WORDS = 9
+WINDOW = 8
 _SECOND_BASE = 0xD6E8FEB86659FD93
 _ENDINGS = np.isin(np.arange(256), list(b".!?"))
 
 
-def _joined(ends: np.ndarray) -> np.ndarray:
-    """The ends that leave at least LEAST_WORDS words since the last one; always the last."""
-    following = np.searchsorted(ends, ends + LEAST_WORDS).tolist()
-    at, kept = int(np.searchsorted(ends, LEAST_WORDS - 1)), []
-    while at < ends.size:
-        kept.append(at)
-        at = following[at]
-    if not kept or kept[-1] != ends.size - 1:
-        kept.append(ends.size - 1)
-    return ends[kept]
+def _window_ends(ends: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The word of the smallest hash, the last of equal ones, of each window without an end."""
+    if words.size < WINDOW:
+        return np.zeros(0, dtype=np.int64)
+    before = np.concatenate([[0], np.cumsum(ends)])
+    open_windows = np.flatnonzero(before[WINDOW:] == before[:-WINDOW])
+    hashes = sliding_window_view(mix(words, 3), WINDOW)[open_windows, ::-1]
+    return open_windows + (WINDOW - 1 - hashes.argmin(axis=1))
 
 
 class Sentences:
@@ -62,9 +68,9 @@ class Sentences:
         line = np.concatenate([[0], np.cumsum(data == 0x0A)])
         final = _ENDINGS[data[ends - 1]]
         final[:-1] |= line[starts[1:]] != line[ends[:-1]]
-        final |= mix(self.words, 3) % np.uint64(_CUT_ONE_IN) == 0
+        final[_window_ends(final, self.words)] = True
         final[last] = True
-        self.last = _joined(np.flatnonzero(final))
+        self.last = np.flatnonzero(final)
         self.first = np.concatenate([[0], self.last[:-1] + 1])
         self.byte_starts = starts[self.first]
 
@@ -73,8 +79,14 @@ class Sentences:
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First and last sentence, and two hashes, of the run starting at each sentence."""
-        begin = np.arange(max(0, len(self) - RUN_SENTENCES + 1))
-        end = begin + RUN_SENTENCES - 1
+        begin = np.arange(len(self))
+        end = np.searchsorted(self.last, self.first + RUN_WORDS - 1)
+        end = np.minimum(np.maximum(end, begin + RUN_SENTENCES - 1), len(self) - 1)
+        long = (end - begin >= RUN_SENTENCES - 1) & (
+            self.last[end] - self.first + 1 >= TAIL_WORDS
+        )
+        # Only starts close to the end of the text fall short.
+        begin, end = begin[long], end[long]
         if begin.size == 0:
             none = np.zeros(0, dtype=np.int64)
             return begin, end, none, none.astype(np.int32)
