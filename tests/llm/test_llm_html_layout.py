@@ -41,6 +41,23 @@ def test_layout(source, want):
     assert visible_text(source) == want
 
 
+FOREIGN = [
+    ("a<svg><title>t</title><desc>d</desc><text>North</text><text x=1>So<tspan>uth</tspan></text></svg>b", "a\nNorth\nSouth\nb"),
+    ("<svg><defs/><path d='M0'/><text>seen</text></svg>", "seen"),
+    ("<svg><title/><text>seen</text></svg>", "seen"),
+    ("<svg><defs><text>no</text></defs><metadata>m</metadata><text display=none>n</text></svg>v", "v"),
+    ("<svg><foreignObject><p>html</p></foreignObject><style>s{}</style></svg>", "html"),
+    ("<p>is <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2 tex</annotation></math> so", "is x=2 so"),
+    ("<xmp><b>a</b> &amp;\n  c</xmp>d", "<b>a</b> &amp;\n  c\n\nd"),
+    ("<desc>own</desc> <text>t</text>", "own t"),
+]
+
+
+@pytest.mark.parametrize(("source", "want"), FOREIGN)
+def test_text_of_drawings_formulas_and_xmp(source, want):
+    assert visible_text(source) == want
+
+
 @pytest.mark.parametrize(
     "piece",
     ["<p", "<a b='", '<a href="x>', "<div>", "<table><tr><td>", "<", "<li>", "</b>", "<p>a", "<!--", "<ul><li>"],

@@ -4,7 +4,9 @@ A tree builder reads tags with the usual forgiveness: tags that HTML lets author
 are implied (a new paragraph ends the last, a cell opens its row), stray end tags are
 ignored, open elements end with the page. Visibility rules then drop what is not shown:
 head, scripts, styles and templates, ``hidden``, ``display: none``, ``visibility: hidden``,
-closed details and dialogs. The rest is emitted in blocks: blank lines around paragraphs,
+closed details and dialogs, embedded media and canvas, and inside svg and math what is only
+defined or annotated there. Each text of a drawing is a line, a formula the sequence of its
+signs. The rest is emitted in blocks: blank lines around paragraphs,
 headings, lists and tables, one line break around other blocks, markers and indents for
 lists, preformatted text as it is, and table cells padded to aligned columns.
 
@@ -33,10 +35,17 @@ MAX_SPAN = 100
 
 # The element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript iframe noembed noframes template xmp".split())
-NOT_SHOWN = frozenset("head script style noscript iframe noembed noframes template datalist object video audio canvas svg math title meta link base".split())
+RAW = frozenset("script style noscript iframe noembed noframes template".split())
+NOT_SHOWN = frozenset("head script style noscript iframe noembed noframes template datalist object video audio canvas title meta link base".split())
+# Inside svg and math, by the name of the outer element.
+FOREIGN_NOT_SHOWN = {
+    "svg": frozenset("title desc defs metadata symbol clippath mask marker pattern lineargradient radialgradient filter".split()),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+# HTML again inside these.
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 HEAD_ONLY = frozenset("base link meta script style template title noscript".split())
-PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr menu".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr menu xmp".split())
 BLOCKS = PARAGRAPHS | frozenset("address article aside body caption center dd details dialog div dt figcaption footer form header html legend li main nav option optgroup section summary tr td th thead tbody tfoot".split())
 ENDS_PARAGRAPH = BLOCKS - frozenset("body html caption dd dt legend li option optgroup tr td th thead tbody tfoot".split()) | frozenset(["dd", "dt", "li"])
 # What a start tag ends, and the elements beyond which it does not reach.
@@ -68,6 +77,7 @@ class Node:
     tag: str
     attributes: dict[str, str]
     children: list[Node | str] = field(default_factory=list)
+    foreign: str = ""
 
 
 class _Builder:
@@ -118,7 +128,14 @@ class _Builder:
             self.close_through(*IMPLIED_END[tag])
         if tag in ("td", "th") and self.count.get("table") and self.open[-1].tag != "tr":
             self.push(Node("tr", {}))
-        self.push(Node(tag, attributes))
+        self.push(Node(tag, attributes, foreign=self.foreign(tag)))
+
+    def foreign(self, tag: str) -> str:
+        """``svg`` or ``math`` if an element that starts here belongs to one."""
+        if tag in FOREIGN_NOT_SHOWN:
+            return tag
+        outer = self.open[-1]
+        return outer.foreign if tag not in BLOCKS and outer.tag not in INTEGRATION else ""
 
     def end(self, tag: str) -> None:
         if tag == "head":
@@ -148,6 +165,9 @@ class _Builder:
             self.leave_head()
         self.open[-1].children.append(entities.unescape(raw))
 
+    def literal(self, raw: str) -> None:
+        self.open[-1].children.append(raw)
+
 
 def _attributes(raw: str) -> dict[str, str]:
     out: dict[str, str] = {}
@@ -189,11 +209,16 @@ def parse(source: str) -> Node:
             builder.end(tag)
             continue
         builder.start(tag, _attributes(inside) if inside.strip(" \t\n\r\f/") else {})
-        if tag in RAW or tag in ("textarea", "title"):
+        if inside.endswith("/") and tag not in VOID and builder.open[-1].tag == tag and builder.open[-1].foreign:
+            builder.pop()
+            continue
+        if tag in RAW or tag in ("textarea", "title", "xmp"):
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|$)", re.IGNORECASE).search(source, at)
             body = source[at : stop.start() if stop else size]
             if tag == "textarea":
                 builder.text(body)
+            elif tag == "xmp":
+                builder.literal(body)
             at = stop.start() if stop else size
     return builder.root
 
@@ -285,9 +310,14 @@ class Flow:
 def _shown(node: Node, visible: bool) -> tuple[bool, bool]:
     """Whether the element has a box, and whether text right inside is visible."""
     a = node.attributes
-    if node.tag in NOT_SHOWN:
+    if node.tag in NOT_SHOWN or (node.foreign and node.tag in FOREIGN_NOT_SHOWN[node.foreign]):
         return False, False
     if a:
+        if node.foreign == "svg":
+            if a.get("display") == "none":
+                return False, False
+            if a.get("visibility") in ("hidden", "collapse", "visible"):
+                visible = a["visibility"] == "visible"
         style = a.get("style", "")
         if "hidden" in a or (style and _NO_DISPLAY.search(style)):
             return False, False
@@ -343,6 +373,9 @@ def layout(root: Node, visible: bool = True, depth: int = 0) -> list[str]:
             blank = tag in PARAGRAPHS and not (tag in ("ul", "ol", "menu") and numbers)
             flow.block(blank)
             todo.append(lambda blank=blank: flow.block(blank))
+        elif tag == "text" and item.foreign == "svg":
+            flow.block(False)
+            todo.append(lambda: flow.block(False))
         if tag in ("ul", "ol", "menu"):
             start = item.attributes.get("start", "1") if tag == "ol" else None
             numbers.append(int(start) if start is not None and re.fullmatch(r"-?[0-9]{1,9}", start) else 1 if tag == "ol" else None)
@@ -358,7 +391,7 @@ def layout(root: Node, visible: bool = True, depth: int = 0) -> list[str]:
         elif tag in ("blockquote", "dd"):
             flow.indents.append("  ")
             todo.append(lambda: (flow.block(False), flow.indents.pop()))
-        exact = exact or tag in ("pre", "textarea", "plaintext")
+        exact = exact or tag in ("pre", "textarea", "plaintext", "xmp")
         todo += [(child, visible, exact) for child in reversed(children)]
     return flow.result()
 
