@@ -63,7 +63,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents with their places in training sequences."""
-    return packing.pack_documents(spark, docs)
+    return packing.pack_documents(spark, docs, added_tokens=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -11,7 +11,8 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from tillgrain.llm import bpe, packing
+import corpus_pipeline
+from tillgrain.llm import bpe, packing, queries
 from tillgrain.llm.pretokens import pretokens
 
 SCHEMA = "doc_id bigint, text string"
@@ -131,6 +132,23 @@ def test_packing_keeps_the_contract(spark):
     assert got.sequence_id.nunique() <= 1.01 * got.length.sum() / 1024 + 1
 
 
+def test_added_tokens_are_read_as_the_library_does(spark, tmp_path):
+    texts = [*TEXTS, "a <|endoftext|> b", "x<|endoftext|><|endoftext|>\n y", "a  <|endoftext|>  b's"]
+    spark.createDataFrame(list(enumerate(texts)), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4") for t in texts]
+    for rows in (
+        queries.op3_packing(spark, str(tmp_path)),
+        corpus_pipeline.packed(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)),
+    ):
+        got = {(r["doc_id"], r["start"]): (r["length"], r["ids_crc32"]) for r in rows.collect()}
+        assert {i for i, _ in got} == set(range(len(texts)))
+        for (i, start), (length, crc) in got.items():
+            assert zlib.crc32(want[i][start : start + length].tobytes()) == crc
+        for i, ids in enumerate(want):
+            assert sum(n for (k, _), (n, _) in got.items() if k == i) == ids.size
+
+
 def test_repeated_rows_are_packed_one_by_one(spark):
     docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "a b c")], SCHEMA)
     got = packing.pack_documents(spark, docs).collect()

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -50,28 +50,46 @@ _BYTE_LETTERS = {
     byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)
 }
 
-_ENCODERS: dict[str, RememberingEncoder] = {}
+_ENCODERS: dict[str, tuple[RememberingEncoder, Callable[[str], bytes | None]]] = {}
 
 
-def _encoder(model: str) -> RememberingEncoder:
+def _encoder(model: str, added_tokens: bool) -> Callable[[str], bytes]:
     """One tokenizer and memory per worker process."""
     if model not in _ENCODERS:
         _ENCODERS.clear()
-        # The library's merges alone: the text is split already, and special tokens
+        # The library's merges alone: the text is split already, and added tokens
         # are ordinary text.
-        tokenize = Tokenizer.from_str(model).model.tokenize
+        library = Tokenizer.from_str(model)
+        tokenize = library.model.tokenize
+        marks = [t.content for t in library.get_added_tokens_decoder().values()]
 
         def encode(tokens: list[str]) -> list[bytes]:
             spelled = (t.encode().decode("latin-1").translate(_BYTE_LETTERS) for t in tokens)
             ids = ([part.id for part in tokenize(t)] for t in spelled)
             return [struct.pack(f"<{len(i)}I", *i) for i in ids]
 
-        _ENCODERS[model] = RememberingEncoder(encode)
-    return _ENCODERS[model]
+        def whole(text: str) -> bytes | None:
+            """The library's own ids of a text that holds an added token."""
+            if not any(mark in text for mark in marks):
+                return None
+            ids = library.encode(text, add_special_tokens=False).ids
+            return np.array(ids, dtype="<u4").tobytes()
 
+        _ENCODERS[model] = RememberingEncoder(encode), whole
+    ordinary, whole = _ENCODERS[model]
+    if not added_tokens:
+        return ordinary
+    return lambda text: ordinary(text) if (ids := whole(text)) is None else ids
 
-def tokenised(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, ids): the text's ids and the end token, little-endian unsigned 32-bit."""
+
+def tokenised(
+    docs: DataFrame, path: str | None = None, added_tokens: bool = False
+) -> DataFrame:
+    """(doc_id, ids): the text's ids and the end token, little-endian unsigned 32-bit.
+
+    With ``added_tokens``, those of the file (``<|endoftext|>``) are read in a text as
+    their own ids, as the library does by default; otherwise they are ordinary text.
+    """
     spark = docs.sparkSession
     importable(spark)
     with open(path or public_tokenizers.path(VOCABULARY), encoding="utf-8") as model:
@@ -79,7 +97,7 @@ def tokenised(docs: DataFrame, path: str | None = None) -> DataFrame:
     end = np.array([END_TOKEN], dtype="<u4").tobytes()
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        encode = _encoder(shared.value)
+        encode = _encoder(shared.value, added_tokens)
         for batch in batches:
             ids = [encode(t or "") + end for t in batch.column(1).to_pylist()]
             yield {"doc_id": batch.column(0), "ids": pa.array(ids, pa.binary())}
@@ -327,16 +345,22 @@ def pack(spark: SparkSession, cut: DataFrame, capacity: int = CAPACITY) -> DataF
 
 
 def pack_documents(
-    spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, path: str | None = None
+    spark: SparkSession,
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    path: str | None = None,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Tokenise, cut and pack every document; one row per piece."""
-    cut = materialise(spark, pieces(tokenised(docs, path), capacity), "pieces")
+    cut = materialise(spark, pieces(tokenised(docs, path, added_tokens), capacity), "pieces")
     return pack(spark, cut, capacity)
 
 
-def sequences(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def sequences(
+    spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, added_tokens: bool = False
+) -> DataFrame:
     """(sequence_id, ids): the token ids of every packed sequence, in order."""
-    encoded = materialise(spark, tokenised(docs), "tokens")
+    encoded = materialise(spark, tokenised(docs, added_tokens=added_tokens), "tokens")
     placed = pack(spark, materialise(spark, pieces(encoded, capacity), "pieces"), capacity)
     part = F.expr("substring(ids, cast(4 * start + 1 as int), cast(4 * length as int))")
     return (

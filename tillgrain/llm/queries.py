@@ -35,7 +35,7 @@ def op2_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(spark, table(spark, sf_dir, "documents"))
+    return packing.pack_documents(spark, table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
