@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillgrain.llm import (
     bpe,
+    code_trie,
+    dialogue_repair,
     html_layout,
     language_profiles,
     minhash_forest,
@@ -17,6 +19,7 @@ from tillgrain.llm import (
     quality_divergence,
     secret_crf,
     sentence_spans,
+    toxic_kernel,
 )
 from tillgrain.llm.support import table
 
@@ -69,6 +72,20 @@ def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxic_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_kernel.report(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_repair.report(spark, table(spark, sf_dir, "conversations"))
+
+
+def op13_code_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_trie.compress(spark, table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentence_spans": op1_sentence_spans,
@@ -81,6 +98,9 @@ def queries() -> dict[str, Query]:
         "op8_projection_forest": op8_projection_forest,
         "op9_pii_boosting": op9_pii_boosting,
         "op10_minhash_forest": op10_minhash_forest,
+        "op11_toxic_kernel": op11_toxic_kernel,
+        "op12_dialogue_repair": op12_dialogue_repair,
+        "op13_code_trie": op13_code_trie,
     }
 
 
