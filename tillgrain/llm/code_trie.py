@@ -8,8 +8,8 @@ distance, ties to the lower index) and replaces an entry by the floor of its par
 The distinct parts of a lot of rows stand in lexicographic order, which is a trie: its
 nodes are ranges of parts with a common prefix. A depth-first walk keeps, for the prefix
 so far, the squared distances to all 256 entries; children add their one dimension to the vector
-they share. Below ``LEAVES`` parts a subtree is taken level by level, each distinct
-prefix once. A leaf takes the nearest entry, and adds its part, times the rows that hold
+they share. Neighbouring subtrees of at most ``LEAVES`` parts together are taken level by
+level, each distinct prefix once. A leaf takes the nearest entry, and adds its part, times the rows that hold
 it, to the sums of that entry. Sums of counts and components are all that leaves a task.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part.
@@ -94,11 +94,20 @@ def nearest(parts: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndar
         low, high, depth, shared = open_nodes.pop()
         if high - low > LEAVES and depth < width:
             cuts = low + 1 + np.flatnonzero(heads[low + 1 : high] <= depth)
+            begin = low
             for a, b in zip([low, *cuts.tolist()], [*cuts.tolist(), high], strict=True):
-                step = entries[depth] - parts[a, depth]
-                open_nodes.append((a, b, depth + 1, shared + step * step))
+                # Small neighbours go on together from the prefix they share.
+                if b - begin > LEAVES and a > begin:
+                    open_nodes.append((begin, a, depth, shared))
+                    begin = a
+                if b - a > LEAVES:
+                    step = entries[depth] - parts[a, depth]
+                    open_nodes.append((a, b, depth + 1, shared + step * step))
+                    begin = b
+            if begin < high:
+                open_nodes.append((begin, high, depth, shared))
             continue
-        # A small subtree level by level; ``node`` is the place of each part's prefix.
+        # Small subtrees level by level; ``node`` is the place of each part's prefix.
         total, node = shared[None, :], np.zeros(high - low, dtype=np.int64)
         for at in range(depth, width):
             fresh = heads[low:high] <= at
