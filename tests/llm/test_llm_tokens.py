@@ -162,3 +162,21 @@ def test_sequences_hold_the_ids(spark):
     assert max(sizes) <= 1024
     tokens = sum(len(r["ids"]) // 4 for r in packing.tokenised(docs).collect())
     assert sum(sizes) == tokens
+
+
+def test_rank_encoder_equals_the_library_on_odd_texts():
+    with open(public_tokenizers.path(packing.VOCABULARY), encoding="utf-8") as file:
+        model = file.read()
+    assert packing._ranks(model) is not None
+    library = Tokenizer.from_str(model)
+    texts = ["", " ", "a" * 5000, "\n \t" * 900, " " * 1500 + "x", "é漢字🙂 ' s 's12", "\x00\x7f\xa0"]
+    texts += [" " * 1_200_000 + "x", "don't  stop\r\n\r\nnow ½"]
+    encode = packing._encoder(model, False)
+    for text in texts:
+        ids = np.frombuffer(encode(text), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+    mark = library.get_added_tokens_decoder()[50256].content
+    library.encode_special_tokens = True
+    plain = library.encode(f"a {mark} b", add_special_tokens=False).ids
+    assert np.frombuffer(encode(f"a {mark} b"), "<u4").tolist() == plain
+    assert 50256 in np.frombuffer(packing._encoder(model, True)(f"a {mark} b"), "<u4").tolist()

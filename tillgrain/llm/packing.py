@@ -20,18 +20,19 @@ text are ignored; an empty table gives no pieces.
 
 from __future__ import annotations
 
-import struct
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tillgrain.llm.pretokens import RememberingEncoder
 from tillgrain.llm.support import importable, map_batches, materialise
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -50,23 +51,39 @@ _BYTE_LETTERS = {
     byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)
 }
 
-_ENCODERS: dict[str, tuple[RememberingEncoder, Callable[[str], bytes | None]]] = {}
+# The rank encoder's pattern overflows its stack on very long runs of white space.
+_LONG_BLANK = re.compile(r"\s{1000}")
+
+_ENCODERS: dict[str, tuple[Callable[[str], bytes], Callable[[str], bytes | None]]] = {}
+
+
+def _ranks(model: str) -> dict[bytes, int] | None:
+    """Bytes to id, if ids rise in the order of merges, so that a merge's rank is its id."""
+    spec = json.loads(model)
+    vocabulary = spec["model"]["vocab"]
+    merges = [m if isinstance(m, str) else "".join(m) for m in spec["model"]["merges"]]
+    made = [vocabulary[m.replace(" ", "")] for m in merges]
+    if any(a >= b for a, b in zip(made, made[1:], strict=False)) or len(made) + 256 > len(vocabulary):
+        return None
+    byte_of = {chr(letter): byte for byte, letter in _BYTE_LETTERS.items()}
+    byte_of |= {chr(b): b for b in _PRINTABLE}
+    added = {t["content"] for t in spec["added_tokens"]}
+    return {
+        bytes(byte_of[c] for c in word): i for word, i in vocabulary.items() if word not in added
+    }
 
 
 def _encoder(model: str, added_tokens: bool) -> Callable[[str], bytes]:
-    """One tokenizer and memory per worker process."""
+    """One tokenizer per worker process. It keeps no memory of texts.
+
+    Ordinary text goes through the ranks of the file's merges. The tokenizer library takes texts
+    that hold an added token where those count, and a file whose ids do not follow its merges.
+    """
     if model not in _ENCODERS:
         _ENCODERS.clear()
-        # The library's merges alone: the text is split already, and added tokens
-        # are ordinary text.
         library = Tokenizer.from_str(model)
-        tokenize = library.model.tokenize
         marks = [t.content for t in library.get_added_tokens_decoder().values()]
-
-        def encode(tokens: list[str]) -> list[bytes]:
-            spelled = (t.encode().decode("latin-1").translate(_BYTE_LETTERS) for t in tokens)
-            ids = ([part.id for part in tokenize(t)] for t in spelled)
-            return [struct.pack(f"<{len(i)}I", *i) for i in ids]
+        ranks = _ranks(model)
 
         def whole(text: str) -> bytes | None:
             """The library's own ids of a text that holds an added token."""
@@ -75,7 +92,25 @@ def _encoder(model: str, added_tokens: bool) -> Callable[[str], bytes]:
             ids = library.encode(text, add_special_tokens=False).ids
             return np.array(ids, dtype="<u4").tobytes()
 
-        _ENCODERS[model] = RememberingEncoder(encode), whole
+        plain = Tokenizer.from_str(model)
+        plain.encode_special_tokens = True
+
+        def by_library(text: str) -> bytes:
+            return np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+        if ranks is None:
+            _ENCODERS[model] = by_library, whole
+        else:
+            encode = tiktoken.Encoding(
+                "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            ).encode_ordinary
+
+            def ordinary(text: str) -> bytes:
+                if _LONG_BLANK.search(text):
+                    return by_library(text)
+                return np.array(encode(text), dtype="<u4").tobytes()
+
+            _ENCODERS[model] = ordinary, whole
     ordinary, whole = _ENCODERS[model]
     if not added_tokens:
         return ordinary
