@@ -31,7 +31,7 @@ def _dated_months(filtered: DataFrame) -> DataFrame:
     return monthly.where(F.col("month").isNotNull())
 
 
-def _running_totals() -> dict[str, Column]:
+def running_totals() -> dict[str, Column]:
     """Totals over all of a customer's months up to and including the current row's."""
     so_far = (
         Window.partitionBy("customer_id")
@@ -45,7 +45,7 @@ def _running_totals() -> dict[str, Column]:
     }
 
 
-def _metrics() -> list[Column]:
+def metrics() -> list[Column]:
     txns = F.col("_txns")
     return [
         F.when(F.col("had_activity"), F.lit(0))
@@ -71,9 +71,9 @@ def rfm(grain: DataFrame, filtered: DataFrame, since: Column | None = None) -> D
     snapshots = grain.select(*GRAIN, F.col("snapshot_date").alias("month"))
     timeline = snapshots.unionByName(_dated_months(filtered), allowMissingColumns=True)
     out = (
-        timeline.withColumns(_running_totals())
+        timeline.withColumns(running_totals())
         .where(F.col("snapshot_date").isNotNull())
-        .select(*GRAIN, *_metrics())
+        .select(*GRAIN, *metrics())
     )
     return out if since is None else out.where(F.col("snapshot_date") >= since)
 
@@ -91,6 +91,6 @@ def rfm_full_refresh(filtered: DataFrame, rules: CleanRules) -> DataFrame:
 def rfm_of_months(monthly: DataFrame, rules: CleanRules) -> DataFrame:
     """The same from monthly totals."""
     dated = monthly.withColumnRenamed("txn_month", "month").where(F.col("month").isNotNull())
-    running = dated.withColumns(_running_totals())
+    running = dated.withColumns(running_totals())
     carried = running.drop("txn_count", "total_revenue", "last_invoice_date")
-    return fill_months(carried, rules).select(*GRAIN, *_metrics())
+    return fill_months(carried, rules).select(*GRAIN, *metrics())

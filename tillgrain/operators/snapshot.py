@@ -58,7 +58,9 @@ def first_month_index(bounds: DataFrame, rules: CleanRules) -> DataFrame:
     ).select("customer_id", month_index(F.col("first_month")).alias("first_month_index"))
 
 
-def fill_months(active: DataFrame, rules: CleanRules, since: Column | None = None) -> DataFrame:
+def fill_months(
+    active: DataFrame, rules: CleanRules, since: Column | None = None, first: str = "month"
+) -> DataFrame:
     """Extend each active customer-month over the inactive months that follow it.
 
     ``active`` has one row per (customer_id, month). The result has one row per
@@ -66,12 +68,13 @@ def fill_months(active: DataFrame, rules: CleanRules, since: Column | None = Non
     other columns carried forward from the latest active month. One window over
     customer-months replaces the spine, its range join and the activity join; a
     customer has at most one row per calendar month, so no partition can grow
-    with the transaction volume.
+    with the transaction volume. ``first`` names a column whose least value is the
+    customer's first month, where ``active`` does not begin with it.
     """
     by_month = Window.partitionBy("customer_id").orderBy("month")
     spanned = (
         active.where(F.col("month").isNotNull())
-        .withColumn("_first", F.min("month").over(by_month))
+        .withColumn("_first", F.min(first).over(by_month))
         .withColumn("_next", F.lead("month").over(by_month))
         .where(F.col("_first").between(rules.dim_low(), rules.dim_high()))
     )
@@ -84,7 +87,7 @@ def fill_months(active: DataFrame, rules: CleanRules, since: Column | None = Non
         .withColumn("_high", high)
         .where(F.col("_low") <= F.col("_high"))
     )
-    carried = [c for c in active.columns if c not in ("customer_id", "month")]
+    carried = [c for c in active.columns if c not in ("customer_id", "month", first)]
     return clipped.select(
         "customer_id",
         F.explode(months_between(F.col("_low"), F.col("_high"))).alias("snapshot_date"),

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tillgrain.operators import (
     assertions,
+    balances,
     calendar,
     checks,
     quality,
@@ -25,9 +26,10 @@ from tillgrain.operators import (
 )
 from tillgrain.plans import incremental, suite
 from tillgrain.plans.pipeline import Lakehouse
+from tillgrain.plans.stored_state import StateStore
 from tillgrain.sources import ingest
 from tillgrain.sources.star_adapter import STAR_RULES, stored_lines
-from tillgrain.sources.tables import materialise, stored_once
+from tillgrain.sources.tables import scratch_path, stored_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,21 +89,39 @@ def _timestamp_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class _State:
-    """Stored transactions, and the facts an earlier run derived from part of them."""
+    """Stored transactions by month, the facts an earlier run derived from part of them, and the
+    balances it left for the months before the next run's look-back."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         house = lakehouse(spark, sf_dir)
 
-        def stored(label: str, build: Callable[[], DataFrame]) -> DataFrame:
-            return stored_once(spark, label, sf_dir, build)
+        def stored(
+            label: str, build: Callable[[], DataFrame], partition_by: str | None = None
+        ) -> DataFrame:
+            return stored_once(spark, label, sf_dir, build, partition_by)
 
         self.rules = house.rules
         self.filtered = stored("txn_filtered", lambda: house.txn_filtered)
         earlier = self.filtered.where(F.col("invoice_date") < F.lit(INCREMENT_FROM))
-        self.rfm = stored("earlier_rfm", lambda: rfm.rfm_full_refresh(earlier, self.rules))
-        self.grain = stored(
-            "earlier_grain", lambda: snapshot.composite_grain(earlier, self.rules)
+        by_month = "snapshot_date"
+        self.rfm = stored(
+            "earlier_rfm", lambda: rfm.rfm_full_refresh(earlier, self.rules), by_month
+        )
+        self.lines = stored(
+            "txn_by_month", lambda: balances.month_column(self.filtered), "txn_month"
         )
+        self.balances = stored(
+            "earlier_balances",
+            lambda: balances.before(
+                snapshot.look_back_start(self.rfm), balances.totals_of(earlier)
+            ),
+        )
+
+    def facts(self) -> DataFrame:
+        """RFM and grain after the next run; it reads no line from before its look-back."""
+        since = snapshot.look_back_start(self.rfm)
+        opened = balances.totals_of(self.lines.where(F.col("txn_month") >= since))
+        return incremental.facts_incremental(self.rfm, self.balances, opened, self.rules)
 
 
 class _MovedState:
@@ -139,8 +159,7 @@ class _MovedState:
 
 
 def _grain_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = _State(spark, sf_dir)
-    return incremental.grain_incremental(state.grain, state.filtered, state.rules)
+    return _State(spark, sf_dir).facts().select(*rfm.GRAIN)
 
 
 def _grain_incremental_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,14 +177,64 @@ def _rfm_incremental_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rfm_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The grain is brought up to date and stored first, then the metrics follow it."""
-    state = _State(spark, sf_dir)
-    grain = materialise(
+    return reported(_State(spark, sf_dir).facts())
+
+
+# -- the versioned store: its folder is made once, each query stages a version on top of it --
+
+_STORES: dict[tuple[str, ...], str] = {}
+
+
+def _store(
+    spark: SparkSession, sf_dir: str, label: str, lines: Callable[[], DataFrame]
+) -> StateStore:
+    key = (spark.sparkContext.applicationId, label, sf_dir)
+    made = key in _STORES
+    path = _STORES.setdefault(key, scratch_path(spark, label))
+    store = StateStore(spark, path, STAR_RULES)
+    if not made:
+        store.start(lines())
+    return store
+
+
+def _clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    house = lakehouse(spark, sf_dir)
+    return stored_once(
         spark,
-        incremental.grain_incremental(state.grain, state.filtered, state.rules),
-        "current_grain",
+        "clean_lines",
+        sf_dir,
+        lambda: staging.enrich(house.txn_deduplicated).drop("rn"),
+    )
+
+
+def _store_look_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store holds the lines dated before the increment; the others come as a batch."""
+    lines = _clean_lines(spark, sf_dir)
+    old = F.coalesce(F.col("invoice_date") < F.lit(INCREMENT_FROM), F.lit(False))
+    store = _store(spark, sf_dir, "store_by_date", lambda: lines.where(old))
+    return reported(store.staged(lines.where(~old)).snapshot().read("customer_rfm"))
+
+
+def _store_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of some keys of the last months the store knows an older date or another customer, of
+    some nothing; their lines come as a batch."""
+    lines = _clean_lines(spark, sf_dir)
+    key = F.pmod(F.xxhash64("invoice_no", "stock_code"), F.lit(97))
+    late = F.coalesce(F.col("invoice_date") >= F.lit("2001-04-01"), F.lit(False))
+    differ = late & (key < 3)
+    earlier = lines.where(~(late & (key == 1))).withColumns(
+        {
+            "invoice_date": F.when(
+                late & (key == 0), F.col("invoice_date") - F.expr("INTERVAL 61 DAYS")
+            ).otherwise(F.col("invoice_date")),
+            "customer_id": F.when(
+                late & (key == 2), F.concat(F.lit("x"), "customer_id")
+            ).otherwise(F.col("customer_id")),
+        }
     )
-    return reported(incremental.rfm_incremental(state.rfm, grain, state.filtered))
+    store = _store(spark, sf_dir, "store_moved", lambda: earlier)
+    current = store.staged(lines.where(differ), "affected_customers").snapshot()
+    return reported(current.read("customer_rfm"))
 
 
 # -- checks --------------------------------------------------------------------
@@ -235,6 +304,8 @@ def queries() -> dict[str, Query]:
         "rfm_full": _table("customer_rfm"),
         "rfm_incremental": _rfm_incremental,
         "rfm_incremental_affected": _rfm_incremental_affected,
+        "store_look_back": _store_look_back,
+        "store_affected": _store_affected,
         "dq_completeness_flags": _over(lambda h: quality.completeness_flags(h.raw)),
         "dq_completeness": _table("dq_completeness"),
         "dq_validity_flags": _over(lambda h: quality.validity_flags(h.raw, h.rules)),

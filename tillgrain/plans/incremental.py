@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillgrain.operators import balances, snapshot
 from tillgrain.operators import rfm as rfm_op
-from tillgrain.operators import snapshot
 from tillgrain.operators.snapshot import look_back_start
 from tillgrain.operators.upsert import upsert
 from tillgrain.rules import GRAIN_KEY, CleanRules
@@ -55,6 +55,20 @@ def rfm_incremental(target: DataFrame, grain: DataFrame, filtered: DataFrame) ->
     return upsert(target, delta, GRAIN_KEY, settled=_before(look_back_start(target)))
 
 
+def facts_incremental(
+    metrics: DataFrame, balance: DataFrame, open_totals: DataFrame, rules: CleanRules
+) -> DataFrame:
+    """RFM, and with it the grain, after a look-back run that reads the open months alone.
+
+    ``balance`` holds all months before the look-back month, ``open_totals`` the monthly totals
+    from then on. The rows are those of ``grain_incremental`` and ``rfm_incremental``.
+    """
+    since = look_back_start(metrics)
+    recent = metrics.where(F.col("snapshot_date") >= since)
+    delta = balances.facts_since(balance, open_totals, recent, rules, since)
+    return metrics.where(_before(since)).unionByName(delta)
+
+
 def rfm_of_affected(
     target: DataFrame, monthly_before: DataFrame, filtered: DataFrame, rules: CleanRules
 ) -> DataFrame:

@@ -32,10 +32,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def materialise(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder's path in the shared folder."""
+    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(
+    spark: SparkSession, df: DataFrame, label: str, partition_by: str | None = None
+) -> DataFrame:
     """Write once to the shared folder and read back: cuts the lineage and
     outlives the executors that computed it."""
-    path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
+    if partition_by:
+        spread = df.hint("rebalance", F.col(partition_by))
+        spread.write.partitionBy(partition_by).parquet(path)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -44,12 +55,16 @@ _STORED: dict[tuple[str, ...], DataFrame] = {}
 
 
 def stored_once(
-    spark: SparkSession, label: str, source: str, build: Callable[[], DataFrame]
+    spark: SparkSession,
+    label: str,
+    source: str,
+    build: Callable[[], DataFrame],
+    partition_by: str | None = None,
 ) -> DataFrame:
     """A table derived from ``source``, written on first use in this application."""
     key = (spark.sparkContext.applicationId, label, source)
     if key not in _STORED:
-        _STORED[key] = materialise(spark, build(), label)
+        _STORED[key] = materialise(spark, build(), label, partition_by)
     return _STORED[key]
 
 
