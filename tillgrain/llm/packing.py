@@ -57,13 +57,12 @@ _LONG_BLANK = re.compile(r"\s{1000}")
 _ENCODERS: dict[str, tuple[Callable[[str], bytes], Callable[[str], bytes | None]]] = {}
 
 
-def _ranks(model: str) -> dict[bytes, int] | None:
+def _ranks(spec: dict) -> dict[bytes, int] | None:
     """Bytes to id, if ids rise in the order of merges, so that a merge's rank is its id."""
-    spec = json.loads(model)
     vocabulary = spec["model"]["vocab"]
     merges = [m if isinstance(m, str) else "".join(m) for m in spec["model"]["merges"]]
     made = [vocabulary[m.replace(" ", "")] for m in merges]
-    if any(a >= b for a, b in zip(made, made[1:], strict=False)) or len(made) + 256 > len(vocabulary):
+    if any(a >= b for a, b in zip(made, made[1:], strict=False)):
         return None
     byte_of = {chr(letter): byte for byte, letter in _BYTE_LETTERS.items()}
     byte_of |= {chr(b): b for b in _PRINTABLE}
@@ -73,6 +72,20 @@ def _ranks(model: str) -> dict[bytes, int] | None:
     }
 
 
+def _by_library(model: str, special: bool) -> Callable[[str], bytes]:
+    """The tokenizer library itself, loaded when the first text needs it."""
+    loaded: list[Tokenizer] = []
+
+    def encode(text: str) -> bytes:
+        if not loaded:
+            loaded.append(Tokenizer.from_str(model))
+            loaded[0].encode_special_tokens = not special
+        ids = loaded[0].encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+    return encode
+
+
 def _encoder(model: str, added_tokens: bool) -> Callable[[str], bytes]:
     """One tokenizer per worker process. It keeps no memory of texts.
 
@@ -81,22 +94,15 @@ def _encoder(model: str, added_tokens: bool) -> Callable[[str], bytes]:
     """
     if model not in _ENCODERS:
         _ENCODERS.clear()
-        library = Tokenizer.from_str(model)
-        marks = [t.content for t in library.get_added_tokens_decoder().values()]
-        ranks = _ranks(model)
+        spec = json.loads(model)
+        marks = [t["content"] for t in spec["added_tokens"]]
+        ranks = _ranks(spec)
+        del spec
+        by_library, with_added = _by_library(model, False), _by_library(model, True)
 
         def whole(text: str) -> bytes | None:
             """The library's own ids of a text that holds an added token."""
-            if not any(mark in text for mark in marks):
-                return None
-            ids = library.encode(text, add_special_tokens=False).ids
-            return np.array(ids, dtype="<u4").tobytes()
-
-        plain = Tokenizer.from_str(model)
-        plain.encode_special_tokens = True
-
-        def by_library(text: str) -> bytes:
-            return np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return with_added(text) if any(mark in text for mark in marks) else None
 
         if ranks is None:
             _ENCODERS[model] = by_library, whole

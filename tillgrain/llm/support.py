@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
@@ -38,6 +41,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are kept for later tasks, several
+    to an executor, and would each hold what their largest task took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(
     df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
@@ -46,8 +58,11 @@ def map_batches(
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in step(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(columns[n]) for n in names], names)
+        try:
+            for columns in step(batches):
+                yield pa.RecordBatch.from_arrays([pa.array(columns[n]) for n in names], names)
+        finally:
+            give_back()
 
     return df.mapInArrow(run, schema)
 
