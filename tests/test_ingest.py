@@ -76,6 +76,20 @@ def test_quoted_line_breaks_need_the_option(spark, tmp_path):
     assert [r.country for r in rows] == ["United\nKingdom", "France"]
 
 
+def test_inch_marks_are_text(spark, tmp_path):
+    path = tmp_path / "inch.csv"
+    lines = ['1,A,6" RULER,1,2009-12-01,1,1,France', '2,B,"6"" RULER, WOOD",1,2009-12-01,1,1,"France"']
+    lines += ['3,C,TAPE 6",1,2009-12-01,1,1,France', '4,D,"",1,2009-12-01,1,1,France']
+    path.write_text(HEADER + "\n".join(lines) + "\n")
+    rows = ingest.read_csv(spark, str(path)).orderBy("invoice_no").collect()
+    assert [r.description for r in rows] == ['6" RULER', '6" RULER, WOOD', 'TAPE 6"', None]
+    assert {r.country for r in rows} == {"France"}
+    # Two quotes in the line do not hide the one that is open.
+    path.write_text(HEADER + '1,A,6" RULER,1,2009-12-01,1,1,"United\nKingdom"\n')
+    with pytest.raises(Exception, match="multi_line"):
+        ingest.read_csv(spark, str(path)).collect()
+
+
 def test_usual_dates_by_default(spark):
     texts = ["12/1/2010 8:26", "2010-12-01 08:26:00", "2010", "1/2/2010", "13/13/2010 8:26", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")

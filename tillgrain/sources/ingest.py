@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from tillgrain.rules import MISSING_TOKENS, RAW_COLUMNS
 
 
+_QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The file's eight columns as text under their canonical names.
 
     Columns are named by position: a header of another length raises here, a
     line with more values when it is read. A shorter line ends in unknown
-    values. A quote left open, or closed without having been opened, fails the read and
-    names the option: set ``multi_line`` for quoted line breaks (such files cannot be
-    split).
+    values. A field whose opening quote is left open fails the read and names the option: set
+    ``multi_line`` for quoted line breaks (such files cannot be split). A quote within a
+    field that does not begin with one (``6" RULER``) is part of its text.
     """
     reader = (
         spark.read.option("header", True)
@@ -33,11 +36,12 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
     too_long = F.raise_error(F.lit(f"line with more than {len(RAW_COLUMNS)} values"))
     checked = {c: _known(c) for c in RAW_COLUMNS}
     first = RAW_COLUMNS[0]
-    quotes = F.length("_line") - F.length(F.replace(F.col("_line"), F.lit('"'), F.lit("")))
+    # A quote inside a field, like an inch mark, is text; one at its beginning needs its end.
+    open_quote = F.regexp_replace("_line", _QUOTED_FIELD, "$1").rlike(r'(^|,)"')
     broken = F.raise_error(F.lit("quote without its other end: read with multi_line"))
     checked[first] = (
         F.when(F.col("_surplus").isNotNull(), too_long)
-        .when(F.lit(not multi_line) & (quotes % 2 == 1), broken)
+        .when(F.lit(not multi_line) & open_quote, broken)
         .otherwise(checked[first])
     )
     return text.select(*[c.alias(name) for name, c in checked.items()])
