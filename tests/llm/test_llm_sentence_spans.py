@@ -80,6 +80,66 @@ def test_any_passage_of_over_fifty_words_shares_a_run():
         assert found[0] & found[1], (trial, body)
 
 
+def occurrences(texts, size):
+    """Every run of ``size`` words, without case, with its least (document, place)."""
+    least = {}
+    for i, text in sorted(texts):
+        words = text.lower().split()
+        for k in range(len(words) - size + 1):
+            least.setdefault(tuple(words[k : k + size]), (i, k))
+    return least
+
+
+def test_only_repeated_words_go_and_long_passages_do(spark):
+    """Held against the texts alone, without the operator's sentences and hashes."""
+    rng = random.Random(11)
+    pool = [" ".join(f"p{rng.randrange(5000)}" for _ in range(rng.randrange(51, 130))) for _ in range(5)]
+    pool += [" ".join(sentence(rng) for _ in range(14)) for _ in range(5)]
+    short = [" ".join(sentence(rng).split()[:5]) for _ in range(4)]
+    rows = []
+    for i in range(80):
+        parts = [sentence(rng) for _ in range(rng.randrange(1, 14))]
+        for _ in range(rng.randrange(3)):
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(pool))
+        parts.insert(rng.randrange(len(parts) + 1), rng.choice(short))
+        rows.append((i, rng.choice([" ", "\n"]).join(parts)))
+    kept = {r["doc_id"]: r["text"].split() for r in run(spark, rows).collect()}
+    least, runs_of_51 = occurrences(rows, sentence_spans.TAIL_WORDS), occurrences(rows, 51)
+    removed = 0
+    for i, text in rows:
+        words = text.split()
+        for first, size, limit in ((least, sentence_spans.TAIL_WORDS, 0), (runs_of_51, 51, 40)):
+            again = [False] * len(words)
+            for k in range(len(words) - size + 1):
+                if first[tuple(w.lower() for w in words[k : k + size])] != (i, k):
+                    again[k : k + size] = [True] * size
+            if limit == 0:
+                # Words in no repeated run all stay, in their order.
+                left = iter(kept[i])
+                assert all(w in left for w, gone in zip(words, again, strict=True) if not gone), i
+            else:
+                # Of each repeated stretch at most five windows of words stay.
+                stretches = "".join(".#"[x] for x in again).replace(".", " ").split()
+                assert len(words) - len(kept[i]) >= sum(len(x) - limit for x in stretches), i
+        removed += len(words) - len(kept[i])
+    assert removed > 1000
+
+
+def test_texts_of_one_id_and_one_tag_lose_their_own_runs_only(spark):
+    rng = random.Random(12)
+    passage = " ".join(sentence(rng) for _ in range(8))
+    texts = [f"{k} {passage}" if k % 2 else f"{k} is short. It stays." for k in range(3000)]
+    tagged = spark.createDataFrame(enumerate(texts), SCHEMA).select("text", sentence_spans._tag())
+    by_tag = {}
+    for r in tagged.collect():
+        by_tag.setdefault((r["tag"]), {})["is short" in r["text"]] = r["text"]
+    pair = next(x for x in by_tag.values() if len(x) == 2)
+    got = run(spark, [(1, passage), (2, pair[True]), (2, pair[False])]).where("doc_id = 2")
+    left = {r["text"] for r in got.collect()}
+    assert pair[True] in left and len(left) == 2
+    assert all(len(t) < len(passage) / 2 for t in left)
+
+
 def test_unrelated_documents_stay_as_they_are(spark):
     rng = random.Random(6)
     licence = "Licensed under the Example License, Version 2.0."
@@ -88,7 +148,10 @@ def test_unrelated_documents_stay_as_they_are(spark):
 
 
 def test_edge_rows_and_clashing_columns(spark):
-    text = "One two three four. Five six seven eight. Nine ten eleven twelve. More words here."
+    text = (
+        "One two three four. Five six seven eight. Nine ten eleven twelve. More words here. "
+        "Thirteen fourteen fifteen sixteen. Seventeen eighteen nineteen twenty."
+    )
     rows = [
         (1, None), (2, ""), (3, " \n"), (4, "Short."), (5, text), (5, text), (None, text), (6, text),
         (7, f"{text}\n{text}"), (8, "long word " * 60_000),
@@ -109,7 +172,10 @@ def test_edge_rows_and_clashing_columns(spark):
 
 
 def test_repeats_inside_one_document_keep_the_first(spark):
-    text = "One two three four. Five six seven eight. Nine ten eleven twelve."
+    text = (
+        "One two three four. Five six seven eight. Nine ten eleven twelve. "
+        "Thirteen fourteen fifteen sixteen. Seventeen eighteen nineteen twenty."
+    )
     got = run(spark, [(1, f"{text}\n{text}\nThe end.")]).first()
     assert got["text"] == f"{text}\nThe end."
 

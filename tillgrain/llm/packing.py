@@ -343,7 +343,10 @@ def numbered(cut: DataFrame, total: int) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     sizes = sizes.withColumn("_base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    inside = Window.partitionBy("length", "_group").orderBy("doc_id", "piece")
+    # Rows equal in all of these are one piece, so a task run again deals the same places.
+    inside = Window.partitionBy("length", "_group").orderBy(
+        "doc_id", "piece", "start", "ids_crc32"
+    )
     ranked = cut.withColumn("_inside", F.row_number().over(inside) - 1)
     return ranked.join(sizes, ["length", "_group"]).withColumn(
         "rank", F.col("_base") + F.col("_inside")

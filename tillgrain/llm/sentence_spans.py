@@ -9,8 +9,8 @@ a-z.
 
 In a passage that stands in two texts, the ends from the word WINDOW on to the word WINDOW
 before its last are the same in both and at most WINDOW words apart. So every passage of
-6 * WINDOW words or more holds a run, whatever its lines, stops and neighbours; up to two
-windows of words at its start and three at its end can stay.
+4 * WINDOW + RUN_WORDS - 1 words or more (51) holds a run, whatever its lines, stops and
+neighbours; up to two windows of words at its start and three at its end can stay.
 
 The first place of a run is the one in the smallest doc_id, and there the leftmost. At
 every other place all its sentences go, with the white space after them. The runs are
@@ -20,7 +20,7 @@ document are found where its text is read. Nothing is capped.
 
 Defined cases: a null text stays null, a text with fewer sentences than a run stays as it
 is. A row without an id neither gives nor loses sentences across documents. Rows that
-repeat an id are one document. Columns besides doc_id and text are passed through;
+repeat an id are one document: texts under one id take nothing from each other. Columns besides doc_id and text are passed through;
 ``n_sentences`` and ``n_removed`` of the input are replaced.
 """
 
@@ -38,8 +38,8 @@ from tillgrain.llm.support import importable, map_batches, texts_of
 from tillgrain.llm.words import mix, run_hashes, word_hashes
 
 RUN_SENTENCES = 3
-RUN_WORDS = 12
-TAIL_WORDS = 9
+RUN_WORDS = 20
+TAIL_WORDS = 16
 WINDOW = 8
 _SECOND_BASE = 0xD6E8FEB86659FD93
 _ENDINGS = np.isin(np.arange(256), list(b".!?"))
@@ -108,7 +108,7 @@ def _first_in_text(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """(h1, h2, doc_id, tag, run): every distinct run of every text at its leftmost place."""
+    """(h1, h2, doc_id, tag): every distinct run of every text."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -116,27 +116,28 @@ def runs(docs: DataFrame) -> DataFrame:
             tags = batch.column(1).to_numpy(zero_copy_only=False)
             parts, lengths = [], []
             for text in texts_of(batch):
-                begin, _, one, two = Sentences(text).runs()
+                _, _, one, two = Sentences(text).runs()
                 first = _first_in_text(one, two)
-                parts.append((one[first], two[first], begin[first].astype(np.int32)))
+                parts.append((one[first], two[first]))
                 lengths.append(int(first.sum()))
             yield {
                 "h1": np.concatenate([p[0] for p in parts]),
                 "h2": np.concatenate([p[1] for p in parts]),
                 "doc_id": np.repeat(ids, lengths),
                 "tag": np.repeat(tags, lengths),
-                "run": np.concatenate([p[2] for p in parts]),
             }
 
     return map_batches(
         _tagged(docs.where("doc_id is not null and text is not null")),
         step,
-        "h1 bigint, h2 int, doc_id bigint, tag smallint, run int",
+        "h1 bigint, h2 int, doc_id bigint, tag smallint",
     )
 
 
 def _tagged(docs: DataFrame) -> DataFrame:
-    """The tag keeps apart different texts that share an id."""
+    """The tag spreads different texts that share an id. Two of them may have the same one:
+    marks are hashes of runs, so those of one text change nothing in another that lacks
+    the run."""
     return docs.select("doc_id", _tag(), "text")
 
 
@@ -145,7 +146,7 @@ def _tag():
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, starts): runs of each text that stand in a smaller doc_id too."""
+    """(doc_id, tag, hashes): runs of each text that stand in a smaller doc_id too."""
     every = runs(docs)
     shared = (
         every.groupBy("h1", "h2")
@@ -157,16 +158,16 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         every.join(shared, ["h1", "h2"])
         .where("doc_id > first_id")
         .groupBy("doc_id", "tag")
-        .agg(F.collect_set("run").alias("starts"))
+        .agg(F.collect_set("h1").alias("hashes"))
     )
 
 
-def _cleaned(text: bytes, starts: np.ndarray) -> tuple[bytes, int, int]:
+def _cleaned(text: bytes, repeated: np.ndarray) -> tuple[bytes, int, int]:
     """The text without its repeated runs, its sentences, how many of them went."""
     found = Sentences(text)
     begin, end, one, two = found.runs()
     again = ~_first_in_text(one, two)
-    again[starts] = True
+    again |= np.isin(one, repeated)
     if not again.any():
         return text, len(found), 0
     change = np.zeros(len(found) + 1, dtype=np.int64)
@@ -184,11 +185,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     importable(docs.sparkSession)
     docs = docs.drop("n_sentences", "n_removed")
     marks = repeated_runs(docs).select(
-        F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("starts").alias("_starts")
+        F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("hashes").alias("_hashes")
     )
     marked = docs.join(
         marks, (docs["doc_id"] == F.col("_id")) & (_tag() == F.col("_tag")), "left"
-    ).select(*docs.columns, "_starts")
+    ).select(*docs.columns, "_hashes")
     names = docs.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
@@ -197,11 +198,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts, totals, removed = [], [], []
             missing = batch.column(at).is_null().to_pylist()
-            for text, starts, null in zip(
+            for text, hashes, null in zip(
                 texts_of(batch), batch.column(len(names)), missing, strict=True
             ):
-                places = np.array(starts.as_py() or [], dtype=np.int64)
-                clean, total, gone = _cleaned(text, places)
+                repeated = np.array(hashes.as_py() or [], dtype=np.int64)
+                clean, total, gone = _cleaned(text, repeated)
                 texts.append(None if null else clean.decode())
                 totals.append(total)
                 removed.append(gone)
