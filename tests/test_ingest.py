@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import io
+import random
 from datetime import datetime
 
 import pytest
@@ -11,8 +13,9 @@ from conftest import RULES
 from tillgrain.operators import scorecard
 from tillgrain.plans import incremental, pipeline
 from tillgrain.rules import RAW_COLUMNS
-from tillgrain.sources import ingest
+from tillgrain.sources import dates, ingest
 from tillgrain.sources.export import export_scorecard
+from tillgrain.sources.records import lines, records
 from tillgrain.sources.star_adapter import STAR_RULES
 from tillgrain.sources.tables import merge_into_partitions, write_table
 
@@ -67,13 +70,112 @@ def test_line_lengths(spark, tmp_path):
         ingest.read_csv(spark, str(path)).collect()
 
 
-def test_quoted_line_breaks_need_the_option(spark, tmp_path):
+def test_quoted_line_breaks(spark, tmp_path):
     path = tmp_path / "broken.csv"
     path.write_text(HEADER + '1,A,X,1,2009-12-01,1,1,"United\nKingdom"\n2,B,Y,1,2009-12-01,1,1,France\n')
     with pytest.raises(Exception, match="multi_line"):
-        ingest.read_csv(spark, str(path)).collect()
-    rows = ingest.read_csv(spark, str(path), multi_line=True).collect()
+        ingest.read_csv(spark, str(path), multi_line=False).collect()
+    rows = ingest.read_csv(spark, str(path)).orderBy("invoice_no").collect()
     assert [r.country for r in rows] == ["United\nKingdom", "France"]
+    path.write_text(HEADER + '1,A,X,1,2009-12-01,1,1,"United\nKingdom\n2,B,Y,1,2009-12-01,1,1,France\n')
+    with pytest.raises(Exception, match="quote without its other end in .*broken.csv"):
+        ingest.read_csv(spark, str(path)).collect()
+
+
+@pytest.fixture
+def small_blocks(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, size)
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("size", [7, 40, 300, 100_000])
+def test_records_over_blocks_match_a_reader_of_the_whole_file(spark, tmp_path, small_blocks, size):
+    rng = random.Random(size)
+    pieces = ["a", "é", '"', "\n", ",", " ", "bc", '6" RULER', "\n\n", '""']
+    expected = []
+    for k in range(2):
+        rows = [[f"h{i}" for i in range(8)]]
+        for i in range(25):
+            texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(4))) for _ in range(7)]
+            rows.append([f"{k}-{i}", *texts])
+        path = tmp_path / "in" / f"{k}.csv"
+        path.parent.mkdir(exist_ok=True)
+        with path.open("w", newline="", encoding="latin-1") as handle:
+            for n, row in enumerate(rows):
+                # A field that neither begins with a quote nor needs one stands as it is.
+                plain = [x and x[0] != '"' and not set(x) & {",", "\n"} for x in row]
+                cells = [x if bare else '"' + x.replace('"', '""') + '"' for x, bare in zip(row, plain)]
+                handle.write(",".join(cells) + ("\n\n" if n % 9 == 5 else "\n"))
+        expected += rows[1:]
+    small_blocks(size)
+    folder = str(tmp_path / "in")
+    assert (lines(spark, folder).select("file", "block").distinct().count() > 2) == (size < 1000)
+    cut = records(lines(spark, folder)).where("not (block = 0 and number = 1)")
+    got = sorted(next(csv.reader(io.StringIO(r.text, newline=""))) for r in cut.collect())
+    assert got == sorted(expected)
+    values = {tuple(r) for r in ingest.read_csv(spark, folder).fillna("").collect()}
+    assert {v[0] for v in values} == {r[0] for r in expected}
+    inner = {r[0]: r[2] for r in expected if r[2].strip() == r[2] and r[2]}
+    found = {v[0]: v[2] for v in values}
+    assert all(found[k] == x for k, x in inner.items())
+
+
+def test_records_of_empty_and_header_only_files(spark, tmp_path):
+    path = tmp_path / "header.csv"
+    path.write_text(HEADER)
+    assert ingest.read_csv(spark, str(path)).isEmpty()
+    path.write_bytes((HEADER + "1,A,X,1,2009-12-01,1,1,France\n").replace("\n", "\r\n").encode())
+    assert [tuple(r) for r in ingest.read_csv(spark, str(path)).collect()] == [
+        ("1", "A", "X", "1", "2009-12-01", "1", "1", "France")
+    ]
+
+
+def _dated(folder, name, texts):
+    folder.mkdir(exist_ok=True)
+    body = "".join(f"{name}{i},A,X,1,{d},1,1,France\n" for i, d in enumerate(texts))
+    (folder / f"{name}.csv").write_text(HEADER + body)
+    return str(folder / f"{name}.csv")
+
+
+def test_order_of_day_and_month_is_told_per_file(spark, tmp_path):
+    folder = tmp_path / "in"
+    _dated(folder, "d", ["3/2/2010 8:26", "25/12/2010 8:26", "12/31/20 8:26"])
+    _dated(folder, "m", ["3/2/2010 8:26", "12/25/2010 8:26", "99/99/2010 8:26"])
+    _dated(folder, "i", ["2010-02-03 08:26:00", "no date"])
+    raw_path, log_path = str(tmp_path / "raw"), str(tmp_path / "log")
+    load = ingest.ingest_csv(spark, str(folder), raw_path, log_path)
+    got = {r.invoice_no: r.invoice_date for r in load.raw.collect()}
+    assert got["d0"] == got["i0"] == datetime(2010, 2, 3, 8, 26)
+    assert got["m0"] == datetime(2010, 3, 2, 8, 26)
+    assert got["d1"] == got["m1"] == datetime(2010, 12, 25, 8, 26)
+    assert got["d2"] is got["m2"] is got["i1"] is None
+    (log,) = load.log.collect()
+    assert (log.date_order, log.ambiguous_dates) == ("day_first,month_first,none", 0)
+    assert (log.row_count, log.unparsed_dates) == (8, 3)
+
+
+def test_undecided_and_mixed_files_are_logged(spark, tmp_path):
+    raw_path, log_path = str(tmp_path / "raw"), str(tmp_path / "log")
+    # A log line of before these columns.
+    old = spark.sql("select uuid() as id, now() as import_timestamp, 'old' as filename, 1L as row_count")
+    old.write.parquet(log_path)
+    for name, texts in (
+        ("undecided", ["3/2/2010", "12/12/2010"]),
+        ("mixed", ["25/12/2010", "12/25/2010", "3/2/2010"]),
+    ):
+        ingest.ingest_csv(spark, _dated(tmp_path / "in", name, texts), raw_path, log_path)
+    load = ingest.ingest_csv(
+        spark, str(tmp_path / "in" / "mixed.csv"), raw_path, log_path, ["d/M/yyyy"]
+    )
+    got = {(r.filename, r.date_order): (r.ambiguous_dates, r.unparsed_dates) for r in load.log.collect()}
+    assert got == {
+        ("old", None): (None, None),
+        ("undecided.csv", "undecided"): (2, 0),
+        ("mixed.csv", "mixed"): (1, 1),
+        ("mixed.csv", None): (None, 1),
+    }
 
 
 def test_inch_marks_are_text(spark, tmp_path):
@@ -81,19 +183,22 @@ def test_inch_marks_are_text(spark, tmp_path):
     lines = ['1,A,6" RULER,1,2009-12-01,1,1,France', '2,B,"6"" RULER, WOOD",1,2009-12-01,1,1,"France"']
     lines += ['3,C,TAPE 6",1,2009-12-01,1,1,France', '4,D,"",1,2009-12-01,1,1,France']
     path.write_text(HEADER + "\n".join(lines) + "\n")
+    one_line = ingest.read_csv(spark, str(path), multi_line=False)
+    assert ingest.read_csv(spark, str(path)).exceptAll(one_line).isEmpty()
     rows = ingest.read_csv(spark, str(path)).orderBy("invoice_no").collect()
     assert [r.description for r in rows] == ['6" RULER', '6" RULER, WOOD', 'TAPE 6"', None]
     assert {r.country for r in rows} == {"France"}
     # Two quotes in the line do not hide the one that is open.
     path.write_text(HEADER + '1,A,6" RULER,1,2009-12-01,1,1,"United\nKingdom"\n')
     with pytest.raises(Exception, match="multi_line"):
-        ingest.read_csv(spark, str(path)).collect()
+        ingest.read_csv(spark, str(path), multi_line=False).collect()
+    assert ingest.read_csv(spark, str(path)).first().country == "United\nKingdom"
 
 
 def test_usual_dates_by_default(spark):
     texts = ["12/1/2010 8:26", "2010-12-01 08:26:00", "2010", "1/2/2010", "13/13/2010 8:26", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r.d for r in rows.select(ingest.parse_timestamp(rows.t).alias("d")).collect()]
+    got = [r.d for r in rows.select(dates.parse_timestamp(rows.t).alias("d")).collect()]
     day = datetime(2010, 12, 1, 8, 26)
     assert got == [day, day, None, datetime(2010, 1, 2), None, None]
 

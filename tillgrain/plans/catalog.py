@@ -27,7 +27,7 @@ from tillgrain.operators import (
 from tillgrain.plans import incremental, suite
 from tillgrain.plans.pipeline import Lakehouse
 from tillgrain.plans.stored_state import StateStore
-from tillgrain.sources import ingest
+from tillgrain.sources import dates, ingest
 from tillgrain.sources.star_adapter import STAR_RULES, stored_lines
 from tillgrain.sources.tables import scratch_path, stored_once
 
@@ -82,7 +82,51 @@ def order_dates_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _timestamp_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = order_dates_as_text(spark, sf_dir)
-    return text.withColumn("invoice_date", ingest.parse_timestamp(F.col("date_text")))
+    return text.withColumn("invoice_date", dates.parse_timestamp(F.col("date_text")))
+
+
+def order_dates_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates with slashes as four files write them: month first, day first, only days
+    that could be months, and both ways."""
+    date, file = F.col("o_orderdate"), F.col("o_custkey") % 4
+    day_first = (file == 1) | ((file == 3) & (F.col("o_orderkey") % 2 == 0))
+    text = (
+        F.when((file == 2) & (F.dayofmonth(date) > 12), None)
+        .when(day_first, F.date_format(date, "d/M/yyyy H:mm"))
+        .otherwise(F.date_format(date, "M/d/yyyy H:mm"))
+    )
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", F.concat(F.lit("f"), file.cast("string")).alias("file"), text.alias("date_text")
+    )
+
+
+def _date_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = order_dates_by_file(spark, sf_dir)
+    orders = dates.date_orders(rows, "date_text", "file")
+    return dates.parse_by_file(rows, "date_text", "file", orders).select(
+        "o_orderkey", "file", "date_text", "date_order", F.col("parsed").alias("invoice_date")
+    )
+
+
+def _quoted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as CSV, with line breaks inside quotes and bare inch marks, and read."""
+    key = F.col("o_orderkey")
+    order = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        key.cast("string").alias("invoice_no"),
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("stock_code"),
+        F.when(key % 5 == 0, F.concat(F.lit("first\n\nsecond, of "), key.cast("string")))
+        .when(key % 7 == 0, F.lit('6" RULER'))
+        .otherwise(F.lit("PLAIN"))
+        .alias("description"),
+        (key % 100).cast("string").alias("quantity"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("invoice_date"),
+        F.lit("0.5").alias("unit_price"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.lit("France").alias("country"),
+    )
+    path = scratch_path(spark, "csv")
+    order.write.option("header", True).option("escapeQuotes", False).csv(path)
+    return ingest.typed(ingest.read_csv(spark, path))
 
 
 # -- incremental runs: the tables an earlier run stored, then the new transactions --
@@ -287,6 +331,8 @@ def queries() -> dict[str, Query]:
     bounds = lambda house: snapshot.customer_bounds(house.txn_filtered)
     out: dict[str, Query] = {
         "ingest_timestamp_coerce": _timestamp_coerce,
+        "ingest_date_orders": _date_orders,
+        "ingest_quoted_records": _quoted_records,
         "ingest_verification": _over(lambda h: ingest.verify_load(h.raw)),
         "stg_cleaned": _table("stg_cleaned"),
         "txn_deduplicated": _table("txn_deduplicated"),

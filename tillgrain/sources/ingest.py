@@ -9,71 +9,77 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrain.rules import MISSING_TOKENS, RAW_COLUMNS
+from tillgrain.sources.dates import (
+    DATE_FORMATS,
+    date_orders,
+    parse_by_file,
+    parse_timestamp,
+)
+from tillgrain.sources.records import lines, records
 
 
 _QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """The file's eight columns as text under their canonical names.
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The files' eight columns as text under their canonical names.
 
     Columns are named by position: a header of another length raises here, a
     line with more values when it is read. A shorter line ends in unknown
-    values. A field whose opening quote is left open fails the read and names the option: set
-    ``multi_line`` for quoted line breaks (such files cannot be split). A quote within a
-    field that does not begin with one (``6" RULER``) is part of its text.
+    values. Quoted fields may hold line breaks, and large files are split all the same, at
+    the price of one shuffle of the lines. Without ``multi_line`` there is none, and a field
+    whose opening quote is left open in its line fails the read. A quote within a field that
+    does not begin with one (``6" RULER``) is part of its text.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("encoding", "ISO-8859-1")
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
-    reader.csv(path).toDF(*RAW_COLUMNS)
-    # Every line is one value short of this schema, so its own text comes along.
-    fields = [f"{c} STRING" for c in (*RAW_COLUMNS, "_surplus", "_line")]
-    text = reader.option("columnNameOfCorruptRecord", "_line").schema(", ".join(fields)).csv(path)
+    return _read(spark, path, multi_line).drop("_file")
+
+
+def _read(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """The eight columns and the file each line is from."""
+    header = spark.read.option("header", True).option("encoding", "ISO-8859-1")
+    header.option("escape", '"').csv(path).toDF(*RAW_COLUMNS)
+    fields = [f"{c} STRING" for c in (*RAW_COLUMNS, "_surplus")]
+    if multi_line:
+        body = records(lines(spark, path)).where("not (block = 0 and number = 1)")
+        options = {"escape": '"', "multiLine": "true"}
+        values = F.from_csv("text", ", ".join(fields), options).alias("values")
+        text = body.select(F.col("file").alias("_file"), values).select("_file", "values.*")
+        open_quote = F.lit(False)
+    else:
+        # Every line is one value short of this schema, so its own text comes along.
+        reader = spark.read.option("header", True).option("encoding", "ISO-8859-1")
+        reader = reader.option("escape", '"').option("columnNameOfCorruptRecord", "_line")
+        text = reader.schema(", ".join([*fields, "_line STRING"])).csv(path)
+        text = text.withColumn("_file", F.col("_metadata.file_path"))
+        # A quote inside a field, like an inch mark, is text; one at its beginning needs its end.
+        open_quote = F.regexp_replace("_line", _QUOTED_FIELD, "$1").rlike(r'(^|,)"')
     too_long = F.raise_error(F.lit(f"line with more than {len(RAW_COLUMNS)} values"))
+    broken = F.raise_error(F.lit("quote without its other end: read with multi_line"))
     checked = {c: _known(c) for c in RAW_COLUMNS}
     first = RAW_COLUMNS[0]
-    # A quote inside a field, like an inch mark, is text; one at its beginning needs its end.
-    open_quote = F.regexp_replace("_line", _QUOTED_FIELD, "$1").rlike(r'(^|,)"')
-    broken = F.raise_error(F.lit("quote without its other end: read with multi_line"))
     checked[first] = (
         F.when(F.col("_surplus").isNotNull(), too_long)
-        .when(F.lit(not multi_line) & open_quote, broken)
+        .when(open_quote, broken)
         .otherwise(checked[first])
     )
-    return text.select(*[c.alias(name) for name, c in checked.items()])
+    return text.select(*[c.alias(name) for name, c in checked.items()], "_file")
 
 
 def _known(name: str) -> Column:
     return F.when(~F.col(name).isin(*MISSING_TOKENS), F.col(name))
 
 
-# Formats tried after ISO text, in this order; the month comes first.
-DATE_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy/M/d H:mm", "d.M.yyyy H:mm")
-_DAY = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-
-
-def parse_timestamp(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """ISO text with a day, or one of the formats, to a zone-less timestamp; else NULL."""
-    parsed = [F.when(text.rlike(_DAY), text).try_cast("timestamp_ntz")]
-    parsed += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*parsed)
-
-
 def typed(text: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Raw schema. A bad date becomes NULL, a bad number fails the load."""
-    return text.withColumns(
-        {
-            "quantity": F.col("quantity").cast("double"),
-            "invoice_date": parse_timestamp(F.col("invoice_date"), date_formats),
-            "unit_price": F.col("unit_price").cast("double"),
-        }
+    return _numbers(text).withColumn(
+        "invoice_date", parse_timestamp(F.col("invoice_date"), date_formats)
     )
 
 
+def _numbers(text: DataFrame) -> DataFrame:
+    return text.withColumns({c: F.col(c).cast("double") for c in ("quantity", "unit_price")})
+
+
 @dataclass(frozen=True)
 class Load:
     raw: DataFrame
@@ -90,25 +96,43 @@ def ingest_csv(
     path: str,
     raw_path: str,
     log_path: str,
-    date_formats: Sequence[str] = DATE_FORMATS,
-    multi_line: bool = False,
+    date_formats: Sequence[str] | None = None,
+    multi_line: bool = True,
 ) -> Load:
     """Append the file to the raw table and one line to the import log.
 
     Loading a file twice adds its rows twice. The row count in the log is taken
-    from the rows as they are written, so the file is read once; so is the number of
-    dates that no format fits.
+    from the rows as they are written; so is the number of dates that no format fits.
+
+    Unless ``date_formats`` are given, one pass over the dates tells for each file whether
+    its dates in slashes put the day or the month first. The log holds the orders found
+    (``date_order``, comma-joined) and, for files that are undecided or mixed and so were
+    read month first, how many of their dates fit both orders (``ambiguous_dates``).
     """
-    text = read_csv(spark, path, multi_line).withColumn("_date", F.col("invoice_date"))
-    lines = typed(text, date_formats)
-    unparsed = F.col("_date").isNotNull() & F.col("invoice_date").isNull()
+    text = _read(spark, path, multi_line)
+    found = None
+    if date_formats is None:
+        # One row per file.
+        orders = date_orders(text, "invoice_date", "_file").cache()
+        unsure = F.col("date_order").isin("undecided", "mixed")
+        found = orders.agg(
+            F.array_join(F.sort_array(F.collect_set("date_order")), ",").alias("date_order"),
+            F.coalesce(F.sum(F.when(unsure, F.col("ambiguous_dates"))), F.lit(0)).alias("n"),
+        ).first()
+        dated = parse_by_file(text, "invoice_date", "_file", orders)
+    else:
+        dated = text.withColumn("parsed", parse_timestamp(F.col("invoice_date"), date_formats))
+    unparsed = F.col("invoice_date").isNotNull() & F.col("parsed").isNull()
     written = Observation()
-    lines = lines.withColumn("imported_at", F.current_timestamp()).observe(
+    rows = _numbers(dated).withColumn("imported_at", F.current_timestamp()).observe(
         written,
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(unparsed).alias("unparsed_dates"),
-    ).drop("_date")
-    lines.write.mode("append").parquet(raw_path)
+    )
+    rows = rows.withColumn("invoice_date", F.col("parsed")).select(*RAW_COLUMNS, "imported_at")
+    rows.write.mode("append").parquet(raw_path)
+    if found is not None:
+        orders.unpersist()
     entry = file_sizes(spark, path).agg(
         F.expr("uuid()").alias("id"),
         F.current_timestamp().alias("import_timestamp"),
@@ -116,9 +140,13 @@ def ingest_csv(
         F.lit(written.get["row_count"]).cast("bigint").alias("row_count"),
         (F.sum("length") / (1024 * 1024)).alias("file_size_mb"),
         F.lit(written.get["unparsed_dates"]).cast("bigint").alias("unparsed_dates"),
+        F.lit(found and found["date_order"]).cast("string").alias("date_order"),
+        F.lit(found and found["n"]).cast("bigint").alias("ambiguous_dates"),
     )
     entry.write.mode("append").parquet(log_path)
-    return Load(spark.read.parquet(raw_path), spark.read.parquet(log_path))
+    # Logs of earlier loads may lack the later columns.
+    log = spark.read.option("mergeSchema", True).parquet(log_path)
+    return Load(spark.read.parquet(raw_path), log)
 
 
 def verify_load(raw: DataFrame) -> DataFrame:
