@@ -9,6 +9,7 @@ from datetime import datetime
 
 import pytest
 from conftest import RULES
+from pyspark.sql import functions as F
 
 from tillgrain.operators import scorecard
 from tillgrain.plans import incremental, pipeline
@@ -226,6 +227,25 @@ def test_append_log_and_verify(spark, csv_file, tmp_path):
     assert log[0].file_size_mb == csv_file.stat().st_size / 1024 / 1024
     check = ingest.verify_load(load.raw).first()
     assert tuple(check) == (8, 4, 3, 3, 3)
+    assert tuple(ingest.estimate_load(load.log).first()) == tuple(check)
+
+
+def test_sketches_of_several_loads_unite(spark, tmp_path):
+    raw_path, log_path = str(tmp_path / "raw"), str(tmp_path / "log")
+    for k, ids in enumerate((range(0, 30_000), range(20_000, 50_000))):
+        path = tmp_path / f"{k}.csv"
+        path.write_text(HEADER + "".join(f"{i},S{i % 700},X,1,2009-12-01,1,,France\n" for i in ids))
+        load = ingest.ingest_csv(spark, str(path), raw_path, log_path, multi_line=False)
+    exact = ingest.verify_load(load.raw).first().asDict()
+    near = ingest.estimate_load(load.log).first().asDict()
+    assert exact.keys() == near.keys()
+    assert near["total_records"] == 60_000 and near["unique_customers"] == 0
+    for name in exact:
+        assert abs(near[name] - exact[name]) <= 0.05 * exact[name], name
+    # One load logged without sketches leaves the counts unknown.
+    partly = load.log.withColumn("invoices_sketch", F.when(F.col("filename") == "0.csv", F.col("invoices_sketch")))
+    assert ingest.estimate_load(partly).first().unique_invoices is None
+    assert tuple(ingest.estimate_load(load.log.limit(0)).first()) == (0, 0, 0, 0, 0)
 
 
 def test_file_sizes_read_no_content(spark, csv_file):

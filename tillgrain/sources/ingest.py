@@ -80,6 +80,16 @@ def _numbers(text: DataFrame) -> DataFrame:
     return text.withColumns({c: F.col(c).cast("double") for c in ("quantity", "unit_price")})
 
 
+# Distinct values of a load, as mergeable sketches of 2 ** 12 registers (about 1.6 % error).
+SKETCH_BITS = 12
+SKETCHES = {
+    "invoice_no": "invoices_sketch",
+    "customer_id": "customers_sketch",
+    "stock_code": "products_sketch",
+    "country": "countries_sketch",
+}
+
+
 @dataclass(frozen=True)
 class Load:
     raw: DataFrame
@@ -128,6 +138,7 @@ def ingest_csv(
         written,
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(unparsed).alias("unparsed_dates"),
+        *[F.hll_sketch_agg(c, SKETCH_BITS).alias(s) for c, s in SKETCHES.items()],
     )
     rows = rows.withColumn("invoice_date", F.col("parsed")).select(*RAW_COLUMNS, "imported_at")
     rows.write.mode("append").parquet(raw_path)
@@ -142,6 +153,7 @@ def ingest_csv(
         F.lit(written.get["unparsed_dates"]).cast("bigint").alias("unparsed_dates"),
         F.lit(found and found["date_order"]).cast("string").alias("date_order"),
         F.lit(found and found["n"]).cast("bigint").alias("ambiguous_dates"),
+        *[F.lit(written.get[s]).cast("binary").alias(s) for s in SKETCHES.values()],
     )
     entry.write.mode("append").parquet(log_path)
     # Logs of earlier loads may lack the later columns.
@@ -158,3 +170,18 @@ def verify_load(raw: DataFrame) -> DataFrame:
         F.count_distinct("stock_code").alias("unique_products"),
         F.count_distinct("country").alias("unique_countries"),
     )
+
+
+def estimate_load(log: DataFrame) -> DataFrame:
+    """The row total, and distinct counts estimated from the sketches of all loads.
+
+    Reads the import log alone, so it costs the same however large the raw table is. A count
+    is NULL if a load was logged without sketches; without loads, total and counts are 0.
+    """
+    names = ("unique_invoices", "unique_customers", "unique_products", "unique_countries")
+    counts = []
+    for name, sketch in zip(names, SKETCHES.values(), strict=True):
+        known = F.count(sketch) == F.count(F.lit(1))
+        united = F.hll_sketch_estimate(F.hll_union_agg(sketch))
+        counts.append(F.when(known, F.coalesce(united, F.lit(0))).alias(name))
+    return log.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("total_records"), *counts)
