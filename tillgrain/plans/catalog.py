@@ -29,7 +29,7 @@ from tillgrain.plans.pipeline import Lakehouse
 from tillgrain.plans.stored_state import StateStore
 from tillgrain.sources import dates, ingest
 from tillgrain.sources.star_adapter import STAR_RULES, stored_lines
-from tillgrain.sources.tables import scratch_path, stored_once
+from tillgrain.sources.tables import materialise, scratch_path, stored_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,7 +102,9 @@ def order_dates_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _date_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = order_dates_by_file(spark, sf_dir)
-    orders = dates.date_orders(rows, "date_text", "file")
+    # Stored, one row per file: its size is known when the join is planned, so that the rows
+    # of a large file are not dealt into one task.
+    orders = materialise(spark, dates.date_orders(rows, "date_text", "file"), "date_orders")
     return dates.parse_by_file(rows, "date_text", "file", orders).select(
         "o_orderkey", "file", "date_text", "date_order", F.col("parsed").alias("invoice_date")
     )

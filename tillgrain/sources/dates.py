@@ -50,7 +50,11 @@ def date_orders(rows: DataFrame, text: str, file: str) -> DataFrame:
 
 
 def parse_by_file(rows: DataFrame, text: str, file: str, orders: DataFrame) -> DataFrame:
-    """``rows`` with ``date_order`` and ``parsed``; month first unless the file says otherwise."""
+    """``rows`` with ``date_order`` and ``parsed``; month first unless the file says otherwise.
+
+    ``orders`` should be stored or cached and computed: then its size, a row per file, decides
+    on a broadcast before the rows are dealt by file, of which one may hold most of them.
+    """
     known = rows.join(orders.select(file, "date_order"), file)
     parsed = F.when(
         F.col("date_order") == "day_first", parse_timestamp(F.col(text), DAY_FIRST_FORMATS)
