@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import random
 import zlib
@@ -112,6 +113,38 @@ def test_plan_holds_every_piece_in_few_sequences(histogram):
     assert sequences <= used
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_the_program_is_near_its_bound_and_rounding_keeps_it(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    cut = packing.pieces(packing.tokenised(docs)).groupBy("length").count().collect()
+    shorter = {r["length"]: r["count"] for r in cut if r["length"] < packing.CAPACITY}
+    weights = packing.solve_program(shorter)
+    held = Counter()
+    for made, weight in weights.items():
+        assert sum(made.places()) <= packing.CAPACITY
+        for length, count in zip(made.lengths, made.counts, strict=True):
+            held[length] += weight * count
+    assert all(abs(held[n] - count) < 1e-3 for n, count in shorter.items())
+    # No packing, fractional or not, is below the volume.
+    bound = sum(n * count for n, count in shorter.items()) / packing.CAPACITY
+    assert bound - 1e-6 <= sum(weights.values()) <= 1.01 * bound + 1
+    down, rest = packing.round_program(shorter, weights)
+    assert sum(down.values()) + sum(rest.values()) <= 1.01 * bound + 1
+    assert sum(down.values()) >= 9 * sum(rest.values())
+
+
+def test_knapsack_against_every_multiset():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        lengths = np.sort(rng.choice(np.arange(1, 20), 4, replace=False))
+        prices, most = rng.random(4), rng.integers(1, 6, 4)
+        got = packing._best_configuration(lengths, prices, most, 30)
+        assert (got <= most).all() and got @ lengths <= 30
+        every = itertools.product(*(range(m + 1) for m in most))
+        best = max(np.dot(c, prices) for c in every if np.dot(c, lengths) <= 30)
+        assert abs(got @ prices - best) < 1e-9
+
+
 def test_packing_keeps_the_contract(spark):
     small = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
     rows = list(enumerate(TEXTS + [r["text"] for r in small]))

@@ -3,10 +3,10 @@
 Only the histogram of piece lengths decides which pieces share a sequence. A
 configuration is a multiset of lengths that fits; the program asks for weights of
 configurations that cover the histogram with the least total weight. It is solved by
-multiplicative weights: a length not yet covered grows in price, and each round's
-configuration is the best-priced one, found by a knapsack over the capacity. The average
-of the rounds is rounded down; what remains is packed by best fit around the longest piece
-left. Several parts of the fractional solution are rounded and the best plan is taken.
+multiplicative weights: a length that lags behind grows in price, and each round's
+configuration is the best-priced one, found by a knapsack over the capacity. The rounds go
+on until their weights hold the whole histogram. The weights are rounded down, and the
+pieces of the dropped fractions are solved again in whole uses.
 
 The histogram has one row per length, so the solver's input and output do not grow with
 the corpus. Its configurations name slots: the pieces of one length are numbered by a
@@ -24,6 +24,7 @@ import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
@@ -38,9 +39,15 @@ from tillgrain.llm.support import importable, map_batches, materialise
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_TOKEN = 2
-ROUNDS = 400
-# Parts of the fractional solution that are rounded; the plan of fewest sequences counts.
-_ROUNDED_SHARES = (1.0, 0.9, 0.5, 0.0)
+# Share of the uses left to a configuration that one round takes, the rate at which prices
+# follow the lag of a length, and how much dearer than its share a whole sequence starts.
+STEP = 0.9
+RATE = 0.1
+LONG_PIECES = 1.0
+# Fractions of a piece below this are rounding errors of the weights.
+_NOTHING = 1e-6
+# From so few uses on, a round takes all of them: their parts would be lost in rounding.
+_FEW = 10
 # Pieces of one length that a hash group holds on average; the number of groups grows.
 GROUP_ROWS = 20_000
 
@@ -182,138 +189,111 @@ def pieces(encoded: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 # -- the configuration program, on the histogram ----------------------------------
 
 
+@dataclass(frozen=True)
+class Configuration:
+    """One sequence's pieces: lengths, longest last, and how many of each."""
+
+    lengths: tuple[int, ...]
+    counts: tuple[int, ...]
+
+    def places(self) -> list[int]:
+        return np.repeat(self.lengths, self.counts)[::-1].tolist()
+
+
 def _best_configuration(
-    lengths: np.ndarray, prices: np.ndarray, capacity: int
+    lengths: np.ndarray, prices: np.ndarray, most: np.ndarray, capacity: int
 ) -> np.ndarray:
-    """Counts per length of the best-priced multiset that fits: an unbounded knapsack."""
+    """Counts per length, at most ``most``, of the best-priced multiset that fits.
+
+    A knapsack over the capacity. The copies of a length are offered in lots of 1, 2, 4 ...
+    and what is left, which add up to every number of copies.
+    """
     best = np.zeros(capacity + 1)
-    choice = np.full(capacity + 1, -1)
-    for room in range(1, capacity + 1):
-        fit = np.searchsorted(lengths, room, side="right")
-        if fit == 0:
-            continue
-        value = best[room - lengths[:fit]] + prices[:fit]
-        top = int(np.argmax(value))
-        best[room], choice[room] = value[top], top
+    lots = []
+    for i, length in enumerate(lengths.tolist()):
+        left, copies = min(int(most[i]), capacity // length), 1
+        while left > 0:
+            copies = min(copies, left)
+            size = copies * length
+            value = best[:-size] + copies * prices[i]
+            better = value > best[size:]
+            best[size:][better] = value[better]
+            lots.append((i, copies, size, better))
+            left, copies = left - copies, 2 * copies
     counts, room = np.zeros(lengths.size, dtype=np.int64), capacity
-    while choice[room] >= 0:
-        counts[choice[room]] += 1
-        room -= lengths[choice[room]]
+    for i, copies, size, better in reversed(lots):
+        if room >= size and better[room - size]:
+            counts[i] += copies
+            room -= size
     return counts
 
 
-def _multiplicative_weights(
-    lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int
-) -> tuple[list[np.ndarray], np.ndarray]:
-    """Configurations and weights that nearly cover the demand at the least total weight.
+def solve_program(
+    histogram: dict[int, int], capacity: int = CAPACITY, whole: bool = False
+) -> dict[Configuration, float]:
+    """Weights of configurations that hold exactly the histogram's pieces: the fractional program.
 
-    A round uses its configuration until it has covered a small share of the demand of
-    any of its lengths; every length's price falls with the share already covered.
+    Multiplicative weights. A length's price is its share of a sequence, long ones somewhat
+    dearer as they are harder to place, times an exponential of the share of its pieces that
+    lags behind the rest. Each round takes the best-priced configuration among those that
+    what is left can fill, and uses it for ``STEP`` of what would exhaust one of its lengths,
+    or all of it when that is little, so that no round is held up by the rarest length. Rounds
+    go on until everything is held. With ``whole``, every use is a whole sequence.
+    """
+    lengths = np.array([n for n in sorted(histogram) if histogram[n]], dtype=np.int64)
+    demand = np.array([histogram[n] for n in lengths.tolist()], dtype=float)
+    start = lengths * (1 + LONG_PIECES * lengths / capacity)
+    left, tokens = demand.copy(), float(demand @ lengths)
+    weights: dict[Configuration, float] = {}
+    while (some := np.flatnonzero(left > _NOTHING)).size:
+        lag = left[some] / demand[some] - left @ lengths / tokens
+        counts = _best_configuration(
+            lengths[some], start[some] * np.exp(RATE * lag), np.ceil(left[some] - _NOTHING), capacity
+        )
+        used = some[counts > 0]
+        counts = counts[counts > 0]
+        most = (left[used] / counts).min()
+        uses = STEP * most if most > _FEW else most
+        if whole:
+            uses = int(uses)
+        made = Configuration(tuple(lengths[used].tolist()), tuple(counts.tolist()))
+        weights[made] = weights.get(made, 0) + uses
+        left[used] = np.maximum(left[used] - uses * counts, 0)
+    return weights
+
+
+def round_program(
+    histogram: dict[int, int], weights: dict[Configuration, float], capacity: int = CAPACITY
+) -> tuple[dict[Configuration, int], dict[Configuration, int]]:
+    """Whole uses of the fractional solution, and of the program of what these leave.
+
+    Weights are rounded down, which drops less than one use of each configuration. The pieces
+    of the uses dropped are a small histogram again, solved in whole uses.
     """
-    covered = np.zeros(lengths.size)
-    found: dict[bytes, int] = {}
-    configurations: list[np.ndarray] = []
-    weights: list[float] = []
-    eta = np.log(lengths.size + 1) / 4
-    start = lengths * (1 + lengths / capacity)
-    for _ in range(rounds):
-        share = covered / demand
-        if share.min() >= 1:
-            break
-        # Long pieces, which leave few choices, start dearer; what is covered is free.
-        prices = start * np.exp(-eta * (share - share.min())) * (share < 1)
-        counts = _best_configuration(lengths, prices, capacity)
-        used = counts > 0
-        step = (np.maximum(demand[used] - covered[used], 1) / counts[used]).min()
-        step = min(step, max(1.0, 0.25 * (demand[used] / counts[used]).min()))
-        key = counts.tobytes()
-        if key not in found:
-            found[key] = len(configurations)
-            configurations.append(counts)
-            weights.append(0.0)
-        weights[found[key]] += step
-        covered += step * counts
-    return configurations, np.array(weights)
+    left, down = dict(histogram), {}
+    for made, weight in weights.items():
+        parts = list(zip(made.lengths, made.counts, strict=True))
+        uses = min([int(weight + _NOTHING), *(left[n] // k for n, k in parts)])
+        if uses:
+            down[made] = uses
+            for n, k in parts:
+                left[n] -= uses * k
+    rest = solve_program(left, capacity, whole=True)
+    return down, {made: int(uses) for made, uses in rest.items()}
 
 
 def configurations(
-    histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
+    histogram: dict[int, int], capacity: int = CAPACITY
 ) -> list[tuple[list[int], int]]:
     """[(lengths in one sequence, sequences)] that hold every piece of the histogram.
 
     The plan has exactly as many slots of each length as there are pieces.
     """
     full = histogram.get(capacity, 0)
+    shorter = {n: count for n, count in histogram.items() if n != capacity and count}
+    down, rest = round_program(shorter, solve_program(shorter, capacity), capacity)
     plan = [([capacity], full)] if full else []
-    rest = {length: n for length, n in sorted(histogram.items()) if length < capacity and n}
-    if not rest:
-        return plan
-    lengths = np.array(list(rest), dtype=np.int64)
-    demand = np.array(list(rest.values()), dtype=np.int64)
-    found, weights = _multiplicative_weights(lengths, demand.astype(float), capacity, rounds)
-    rounded = [
-        _rounded(lengths, demand, found, share * weights, capacity) for share in _ROUNDED_SHARES
-    ]
-    return plan + min(rounded, key=lambda made: sum(times for _, times in made))
-
-
-def _rounded(
-    lengths: np.ndarray,
-    demand: np.ndarray,
-    found: list[np.ndarray],
-    weights: np.ndarray,
-    capacity: int,
-) -> list[tuple[list[int], int]]:
-    """Whole uses of the configurations, then best fit around the longest piece left."""
-    plan, left = [], demand.copy()
-    for counts, weight in zip(found, weights, strict=True):
-        used = counts > 0
-        times = int(min(np.floor(weight), (left[used] // counts[used]).min()))
-        if times > 0:
-            left -= times * counts
-            plan.append((np.repeat(lengths, counts)[::-1].tolist(), times))
-    while left.any():
-        counts = _fullest(lengths, left, capacity)
-        used = counts > 0
-        times = int((left[used] // counts[used]).min())
-        left -= times * counts
-        plan.append((np.repeat(lengths, counts)[::-1].tolist(), times))
-    return plan
-
-
-def _fullest(lengths: np.ndarray, stock: np.ndarray, capacity: int) -> np.ndarray:
-    """The fullest sequence around the longest piece left, within the stock."""
-    counts = np.zeros(lengths.size, dtype=np.int64)
-    longest = int(np.flatnonzero(stock)[-1])
-    counts[longest] = 1
-    room = capacity - int(lengths[longest])
-    stock = stock - counts
-    open_lengths = np.flatnonzero((stock > 0) & (lengths <= room))
-    # Sums reachable with the stock, longer pieces first; the item that first reached each.
-    item = np.full(room + 1, -1)
-    item[0] = lengths.size
-    for i in open_lengths[::-1]:
-        size = int(lengths[i])
-        for _ in range(int(min(stock[i], room // size))):
-            fresh = np.flatnonzero((item[: room + 1 - size] >= 0) & (item[size:] < 0)) + size
-            # Only sums reached before this copy, so that a copy is used once.
-            if fresh.size == 0:
-                break
-            item[fresh] = i
-            if item[room] >= 0:
-                break
-        if item[room] >= 0:
-            break
-    at = int(np.flatnonzero(item >= 0)[-1])
-    spare = stock.copy()
-    while at:
-        i = int(item[at])
-        if spare[i] == 0:
-            break
-        spare[i] -= 1
-        counts[i] += 1
-        at -= int(lengths[i])
-    return counts
+    return plan + [(made.places(), uses) for part in (down, rest) for made, uses in part.items()]
 
 
 def _slots(plan: list[tuple[list[int], int]]) -> list[tuple[int, int, int, int, int]]:
