@@ -174,17 +174,26 @@ def validity(raw: DataFrame, rules: CleanRules, run_at: Column | None = None) ->
 
 def duplicate_groups(raw: DataFrame) -> DataFrame:
     """Keys, both parts known, that occur more than once."""
-    return _known_key_counts(raw).where(F.col("occurrence_count") > 1)
+    return groups_of(key_counts(known_keys(raw)))
 
 
-def _known_key_counts(raw: DataFrame) -> DataFrame:
-    return key_counts(raw.where("invoice_no IS NOT NULL AND stock_code IS NOT NULL"))
+def known_keys(rows: DataFrame) -> DataFrame:
+    return rows.where("invoice_no IS NOT NULL AND stock_code IS NOT NULL")
+
+
+def groups_of(counts: DataFrame) -> DataFrame:
+    """The repeated ones of counted keys."""
+    return known_keys(counts).where(F.col("occurrence_count") > 1)
 
 
 def uniqueness_counts(raw: DataFrame) -> DataFrame:
     """One shuffle: the row total is the sum of the key counts."""
+    return uniqueness_of(key_counts(known_keys(raw)))
+
+
+def uniqueness_of(counts: DataFrame) -> DataFrame:
     seen = F.col("occurrence_count")
-    return _known_key_counts(raw).agg(
+    return known_keys(counts).agg(
         F.coalesce(F.sum(seen), F.lit(0)).alias("n_total"),
         F.count(F.when(seen > 1, 1)).alias("composite_duplicate_group_count"),
         F.coalesce(F.sum(F.when(seen > 1, seen - 1)), F.lit(0)).alias(
@@ -194,7 +203,11 @@ def uniqueness_counts(raw: DataFrame) -> DataFrame:
 
 
 def uniqueness(raw: DataFrame, run_at: Column | None = None) -> DataFrame:
-    return uniqueness_counts(raw).select(
+    return rated_uniqueness(uniqueness_counts(raw), run_at)
+
+
+def rated_uniqueness(counts: DataFrame, run_at: Column | None = None) -> DataFrame:
+    return counts.select(
         "*",
         complement_share(F.col("composite_duplicate_row_count"), _n_total()).alias(
             "composite_uniqueness_rate"

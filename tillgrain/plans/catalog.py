@@ -25,11 +25,13 @@ from tillgrain.operators import (
     staging,
 )
 from tillgrain.plans import incremental, suite
+from tillgrain.plans.key_store import KeyStore
 from tillgrain.plans.pipeline import Lakehouse
 from tillgrain.plans.stored_state import StateStore
 from tillgrain.sources import dates, ingest
 from tillgrain.sources.star_adapter import STAR_RULES, stored_lines
 from tillgrain.sources.tables import materialise, scratch_path, stored_once
+from tillgrain.sources.versions import Snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -283,6 +285,37 @@ def _store_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reported(current.read("customer_rfm"))
 
 
+# Buckets of the keys of a star-schema folder, which are few.
+STAR_BUCKETS = 8
+
+
+def _second_load(spark: SparkSession, sf_dir: str) -> tuple[KeyStore, Snapshot]:
+    """The later lines were loaded first, so that many of them give way to the earlier ones."""
+    raw = lakehouse(spark, sf_dir).raw
+    early = F.coalesce(F.col("invoice_date") < F.lit(INCREMENT_FROM), F.lit(False))
+    key = (spark.sparkContext.applicationId, "key_store", sf_dir)
+    made = key in _STORES
+    store = KeyStore(spark, _STORES.setdefault(key, scratch_path(spark, "key_store")), STAR_BUCKETS)
+    if not made:
+        store.add(raw.where(~early))
+    return store, store.staged(raw.where(early)).snapshot()
+
+
+def _store_key_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, at = _second_load(spark, sf_dir)
+    return reported(store.flags(at))
+
+
+def _store_key_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, at = _second_load(spark, sf_dir)
+    return reported(store.duplicate_groups(at))
+
+
+def _store_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, at = _second_load(spark, sf_dir)
+    return reported(store.uniqueness(at=at))
+
+
 # -- checks --------------------------------------------------------------------
 
 CHECK_KINDS = (
@@ -354,6 +387,9 @@ def queries() -> dict[str, Query]:
         "rfm_incremental_affected": _rfm_incremental_affected,
         "store_look_back": _store_look_back,
         "store_affected": _store_affected,
+        "store_key_flags": _store_key_flags,
+        "store_key_groups": _store_key_groups,
+        "store_key_uniqueness": _store_key_uniqueness,
         "dq_completeness_flags": _over(lambda h: quality.completeness_flags(h.raw)),
         "dq_completeness": _table("dq_completeness"),
         "dq_validity_flags": _over(lambda h: quality.validity_flags(h.raw, h.rules)),

@@ -27,6 +27,14 @@ NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _MANIFEST = "table string, schema string, partition_by string, folder string, commit string"
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows dealt by a hash of ``columns`` into ``number`` files per partition."""
+
+    number: int
+    columns: tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class TableState:
     """A table's columns, the partition column if any, and its (folder, commit) pairs."""
@@ -65,7 +73,29 @@ class Snapshot:
         rows = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
         return rows.select(*schema.names)
 
+    def bucketed(self, name: str, buckets: Buckets) -> DataFrame:
+        """A table written in buckets: grouping and joining by their columns needs no shuffle.
 
+        Bucketing is known to Spark's catalog alone, so the folders of this version are
+        declared there as the partitions of an external table, under a name of its own.
+        """
+        state = self.tables[name]
+        schema = T.StructType.fromJson(json.loads(state.schema))
+        declared = f"{name}_v{self.version}_{uuid.uuid4().hex}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        keys = ", ".join(f"`{c}`" for c in buckets.columns)
+        self.spark.sql(
+            f"CREATE TABLE {declared} ({columns}) USING parquet"
+            f" PARTITIONED BY (`{state.partition_by}`) CLUSTERED BY ({keys}) SORTED BY ({keys})"
+            f" INTO {buckets.number} BUCKETS LOCATION '{self.root}/data/{name}'"
+        )
+        for folder, commit in sorted(state.folders.items()):
+            value = folder.split("=", 1)[1]
+            self.spark.sql(
+                f"ALTER TABLE {declared} ADD PARTITION (`{state.partition_by}` = '{value}')"
+                f" LOCATION '{self.root}/data/{name}/commit={commit}/{folder}'"
+            )
+        return self.spark.table(declared).select(*schema.names)
 
 
 class VersionedStore:
@@ -109,7 +139,7 @@ class Commit:
     def __init__(self, store: VersionedStore, base: Snapshot | None) -> None:
         self.id = f"c{uuid.uuid4().hex}"
         self._store = store
-        self._version = 1 if base is None else base.version + 1
+        self.version = 1 if base is None else base.version + 1
         self._tables: dict[str, TableState] = {} if base is None else dict(base.tables)
 
     def write(
@@ -118,17 +148,27 @@ class Commit:
         df: DataFrame,
         partition_by: str | None = None,
         replaces: Iterable[str | None] | None = None,
+        buckets: Buckets | None = None,
     ) -> DataFrame:
         """Write a table, or the partitions ``replaces`` of one, and return what it then is.
 
-        Partitions to be replaced that get no row are gone afterwards.
+        Partitions to be replaced that get no row are gone afterwards. Rows of a table in
+        ``buckets`` should be few per bucket key: they are dealt by it.
         """
         path = f"{self._store.root}/data/{name}/commit={self.id}"
         writer = df.write
         if partition_by:
             # Few files per partition, large partitions split over several tasks.
             writer = df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
-        writer.parquet(path)
+        if buckets is None:
+            writer.parquet(path)
+        else:
+            # Buckets are written through the catalog; the name is not needed afterwards.
+            passing = f"{name}_{self.id}"
+            dealt = df.repartition(buckets.number, *buckets.columns).write.format("parquet")
+            dealt = dealt.bucketBy(buckets.number, *buckets.columns).sortBy(*buckets.columns)
+            dealt.partitionBy(partition_by).option("path", path).saveAsTable(passing)
+            self._store.spark.sql(f"DROP TABLE {passing}")
         if partition_by:
             files = self._store.spark.read.schema(df.schema).parquet(path).inputFiles()
             pattern = re.compile(rf"/({re.escape(partition_by)}=[^/]*)/")
@@ -147,7 +187,7 @@ class Commit:
 
     def snapshot(self) -> Snapshot:
         """The tables as they would be published."""
-        return Snapshot(self._store.spark, self._store.root, self._version, dict(self._tables))
+        return Snapshot(self._store.spark, self._store.root, self.version, dict(self._tables))
 
     def publish(self) -> Snapshot:
         rows = [
@@ -156,7 +196,7 @@ class Commit:
             for folder, commit in (sorted(t.folders.items()) or [(None, None)])
         ]
         entries = self._store.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
-        path = f"{self._store.root}/manifest/version={self._version}"
+        path = f"{self._store.root}/manifest/version={self.version}"
         # One file, and an error if another writer was first.
         entries.write.mode("errorifexists").parquet(path)
         return self.snapshot()
