@@ -11,14 +11,15 @@ import pytest
 from conftest import RULES
 from pyspark.sql import functions as F
 
-from tillgrain.operators import scorecard
+from tillgrain.operators import rowflags, scorecard
 from tillgrain.plans import incremental, pipeline
 from tillgrain.rules import RAW_COLUMNS
 from tillgrain.sources import dates, ingest
-from tillgrain.sources.export import export_scorecard
+from tillgrain.sources.export import export_row_flags, export_scorecard
 from tillgrain.sources.records import lines, records
 from tillgrain.sources.star_adapter import STAR_RULES
 from tillgrain.sources.tables import merge_into_partitions, write_table
+from tillgrain.sources.versions import VersionedStore
 
 HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
 LINES = (
@@ -282,6 +283,52 @@ def test_scorecard_shape_and_status(star):
     assert str(card[("completeness", "customer_id", "incomplete_count")].rate) == "1.0000"
 
 
+def test_row_flags_are_exported_in_order(spark, star, tmp_path):
+    numbered = rowflags.numbered_row_flags(spark, star.raw, RULES)
+    export_row_flags(numbered, str(tmp_path / "flags"))
+    files = sorted((tmp_path / "flags").glob("*.csv"))
+    got = []
+    for file in files:
+        with open(file, newline="") as lines:
+            got += [(r["invoice_no"], r["error_count"]) for r in csv.DictReader(lines)]
+    want = [(r.invoice_no, str(r.error_count)) for r in numbered.sort("row_id").collect()]
+    assert len(got) == 6000 and got == [(n or "", e) for n, e in want]
+
+
+def _write_lines(path, *numbers, header=",".join(RAW_COLUMNS)):
+    rows = [f"{n},A,MUG,1,2010-12-01 08:26:00,1.25,{n},France" for n in numbers]
+    path.write_text("\n".join([header, *rows]) + "\n")
+
+
+def test_each_file_is_loaded_once(spark, tmp_path, monkeypatch):
+    inbox, root = tmp_path / "in", str(tmp_path / "lake")
+    inbox.mkdir()
+    _write_lines(inbox / "a.csv", 1, 2)
+    _write_lines(inbox / "copy.csv", 2, 1)
+
+    def held(load):
+        return sorted(r.invoice_no for r in load.raw.collect()), load.log.count()
+
+    assert held(ingest.ingest_once(spark, str(inbox), root)) == (["1", "2"], 1)
+    assert held(ingest.ingest_once(spark, str(inbox), root)) == (["1", "2"], 1)
+    # A run that breaks off before the log is written shows nothing; repeated, it adds its rows.
+    _write_lines(inbox / "b.csv", 3, 3)
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest, "file_sizes", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.ingest_once(spark, str(inbox), root)
+    assert VersionedStore(spark, root).latest().read("raw").count() == 2
+    load = ingest.ingest_once(spark, str(inbox), root)
+    assert held(load) == (["1", "2", "3", "3"], 2)
+    assert sorted(r.row_count for r in load.log.collect()) == [2, 2]
+    assert all(r.file_size_mb > 0 for r in load.log.collect())
+    assert ingest.estimate_load(load.log).first().unique_invoices == 3
+    # The appending load stays as it was.
+    for _ in range(2):
+        plain = ingest.ingest_csv(spark, str(inbox / "a.csv"), root + "/plain", root + "/plain_log")
+    assert plain.raw.count() == 4
+
+
 def test_scorecard_of_an_empty_table(star):
     rows = scorecard.scorecard(star.raw.limit(0), RULES).collect()
     assert sorted(r.dimension for r in rows) == ["consistency"] * 2 + ["uniqueness"] * 2

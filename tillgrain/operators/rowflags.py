@@ -47,10 +47,29 @@ def row_level_flags(
     All flags are computed on the row itself, so a row always gets its own
     flags. The rows are not sorted; sort when exporting.
     """
-    flagged = flag_rows(spark, raw, rules)
-    names = [c for c in flagged.columns if c not in OUTPUT_COLUMNS]
+    return _error_counts(flag_rows(spark, raw, rules), (), checked_at)
+
+
+def numbered_row_flags(
+    spark: SparkSession, raw: DataFrame, rules: CleanRules, checked_at: Column | None = None
+) -> DataFrame:
+    """``row_level_flags`` with each row's ``row_id``, by which an export is sorted.
+
+    Equal rows are numbered with the unflagged one first.
+    """
+    marked = with_row_id(spark, mark_duplicates(raw), (*ROW_ORDER, "is_duplicate"))
+    own = [f.alias(n) for n, f in row_flags(rules).items()]
+    flagged = marked.select("row_id", *OUTPUT_COLUMNS, *own, "is_duplicate")
+    return _error_counts(flagged, ("row_id",), checked_at)
+
+
+def _error_counts(
+    flagged: DataFrame, also: tuple[str, ...], checked_at: Column | None
+) -> DataFrame:
+    names = [c for c in flagged.columns if c not in (*OUTPUT_COLUMNS, *also)]
     errors = sum((F.col(c) for c in names), F.lit(0))
     return flagged.select(
+        *also,
         *OUTPUT_COLUMNS,
         flags.flag(errors > 0).alias("affected_row"),
         errors.alias("error_count"),
@@ -61,7 +80,9 @@ def row_level_flags(
 ROW_ORDER = ("invoice_date", "invoice_no", "stock_code", *RAW_TIE_BREAK)
 
 
-def with_row_id(spark: SparkSession, raw: DataFrame) -> DataFrame:
+def with_row_id(
+    spark: SparkSession, raw: DataFrame, order_by: tuple[str, ...] = ROW_ORDER
+) -> DataFrame:
     """Number all rows 1..n by invoice date and number, ties by the other columns.
 
     A range shuffle sorts the table across tasks and each task numbers its own
@@ -69,7 +90,7 @@ def with_row_id(spark: SparkSession, raw: DataFrame) -> DataFrame:
     per written partition. Copies of a row are spread by the slice of the source
     they came from, so that they need not fit into one task.
     """
-    order = [F.col(c).asc_nulls_last() for c in ROW_ORDER]
+    order = [F.col(c).asc_nulls_last() for c in order_by]
     ranged = (
         raw.withColumn("_slice", F.spark_partition_id())
         .repartitionByRange(*order, F.col("_slice").asc())

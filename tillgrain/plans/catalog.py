@@ -403,6 +403,9 @@ def queries() -> dict[str, Query]:
         "dq_row_ids": _over(lambda h: rowflags.with_row_id(h.spark, h.raw)),
         "dq_row_flag_details": _over(lambda h: rowflags.flag_rows(h.spark, h.raw, h.rules)),
         "dq_row_level_flags": _table("dq_row_level_flags"),
+        "dq_numbered_row_flags": _over(
+            lambda h: rowflags.numbered_row_flags(h.spark, h.raw, h.rules)
+        ),
         "dq_usable_summary": _table("dq_usable_summary"),
     }
     out.update({name: _check(name) for name in CHECK_QUERIES})

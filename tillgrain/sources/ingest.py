@@ -16,6 +16,8 @@ from tillgrain.sources.dates import (
     parse_timestamp,
 )
 from tillgrain.sources.records import lines, records
+from tillgrain.sources.tables import materialise
+from tillgrain.sources.versions import VersionedStore
 
 
 _QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
@@ -97,8 +99,10 @@ class Load:
 
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length) of the files; their content is not read."""
-    return spark.read.format("binaryFile").load(path).select("path", "length")
+    """(path, length, file) of the files; their content is not read. ``file`` is the path as
+    other readers give it."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", "length", F.col("_metadata.file_path").alias("file"))
 
 
 def ingest_csv(
@@ -119,48 +123,114 @@ def ingest_csv(
     (``date_order``, comma-joined) and, for files that are undecided or mixed and so were
     read month first, how many of their dates fit both orders (``ambiguous_dates``).
     """
-    text = _read(spark, path, multi_line)
-    found = None
-    if date_formats is None:
-        # One row per file.
-        orders = date_orders(text, "invoice_date", "_file").cache()
-        unsure = F.col("date_order").isin("undecided", "mixed")
-        found = orders.agg(
-            F.array_join(F.sort_array(F.collect_set("date_order")), ",").alias("date_order"),
-            F.coalesce(F.sum(F.when(unsure, F.col("ambiguous_dates"))), F.lit(0)).alias("n"),
-        ).first()
-        dated = parse_by_file(text, "invoice_date", "_file", orders)
-    else:
-        dated = text.withColumn("parsed", parse_timestamp(F.col("invoice_date"), date_formats))
-    unparsed = F.col("invoice_date").isNotNull() & F.col("parsed").isNull()
-    written = Observation()
-    rows = _numbers(dated).withColumn("imported_at", F.current_timestamp()).observe(
-        written,
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(unparsed).alias("unparsed_dates"),
-        *[F.hll_sketch_agg(c, SKETCH_BITS).alias(s) for c, s in SKETCHES.items()],
-    )
-    rows = rows.withColumn("invoice_date", F.col("parsed")).select(*RAW_COLUMNS, "imported_at")
-    rows.write.mode("append").parquet(raw_path)
-    if found is not None:
-        orders.unpersist()
-    entry = file_sizes(spark, path).agg(
-        F.expr("uuid()").alias("id"),
-        F.current_timestamp().alias("import_timestamp"),
-        F.lit(path.rstrip("/").rsplit("/", 1)[-1]).alias("filename"),
-        F.lit(written.get["row_count"]).cast("bigint").alias("row_count"),
-        (F.sum("length") / (1024 * 1024)).alias("file_size_mb"),
-        F.lit(written.get["unparsed_dates"]).cast("bigint").alias("unparsed_dates"),
-        F.lit(found and found["date_order"]).cast("string").alias("date_order"),
-        F.lit(found and found["n"]).cast("bigint").alias("ambiguous_dates"),
-        *[F.lit(written.get[s]).cast("binary").alias(s) for s in SKETCHES.values()],
-    )
-    entry.write.mode("append").parquet(log_path)
+    load = _Rows(spark, _read(spark, path, multi_line), date_formats)
+    load.rows.write.mode("append").parquet(raw_path)
+    load.log_entry(file_sizes(spark, path), path).write.mode("append").parquet(log_path)
     # Logs of earlier loads may lack the later columns.
     log = spark.read.option("mergeSchema", True).parquet(log_path)
     return Load(spark.read.parquet(raw_path), log)
 
 
+class _Rows:
+    """Typed rows of one load, and what is observed of them while they are written."""
+
+    def __init__(
+        self, spark: SparkSession, text: DataFrame, date_formats: Sequence[str] | None
+    ) -> None:
+        self._found, self._written = None, Observation()
+        if date_formats is None:
+            # One row per file.
+            orders = materialise(spark, date_orders(text, "invoice_date", "_file"), "date_orders")
+            unsure = F.col("date_order").isin("undecided", "mixed")
+            self._found = orders.agg(
+                F.array_join(F.sort_array(F.collect_set("date_order")), ",").alias("date_order"),
+                F.coalesce(F.sum(F.when(unsure, F.col("ambiguous_dates"))), F.lit(0)).alias("n"),
+            ).first()
+            dated = parse_by_file(text, "invoice_date", "_file", orders)
+        else:
+            dated = text.withColumn("parsed", parse_timestamp(F.col("invoice_date"), date_formats))
+        unparsed = F.col("invoice_date").isNotNull() & F.col("parsed").isNull()
+        rows = _numbers(dated).withColumn("imported_at", F.current_timestamp()).observe(
+            self._written,
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(unparsed).alias("unparsed_dates"),
+            *[F.hll_sketch_agg(c, SKETCH_BITS).alias(s) for c, s in SKETCHES.items()],
+        )
+        rows = rows.withColumn("invoice_date", F.col("parsed"))
+        self.rows = rows.select(*RAW_COLUMNS, "imported_at")
+
+    def log_entry(self, sizes: DataFrame, path: str) -> DataFrame:
+        """One line for the import log, once the rows are written."""
+        seen, found = self._written.get, self._found
+        return sizes.agg(
+            F.expr("uuid()").alias("id"),
+            F.current_timestamp().alias("import_timestamp"),
+            F.lit(path.rstrip("/").rsplit("/", 1)[-1]).alias("filename"),
+            F.lit(seen["row_count"]).cast("bigint").alias("row_count"),
+            (F.sum("length") / (1024 * 1024)).alias("file_size_mb"),
+            F.lit(seen["unparsed_dates"]).cast("bigint").alias("unparsed_dates"),
+            F.lit(found and found["date_order"]).cast("string").alias("date_order"),
+            F.lit(found and found["n"]).cast("bigint").alias("ambiguous_dates"),
+            *[F.lit(seen[s]).cast("binary").alias(s) for s in SKETCHES.values()],
+        )
+
+
+# -- each file once --------------------------------------------------------------
+
+
+def file_digests(text: DataFrame) -> DataFrame:
+    """(_file, digest) of the records of each file, whatever its name and their order.
+
+    The digest is the number of records and the sums of two hashes of them: partial sums, so
+    that a file is read in splits. Files without records have none.
+    """
+    sums = [
+        F.sum(F.xxhash64(F.lit(seed), *RAW_COLUMNS).cast("decimal(20,0)")).cast("string")
+        for seed in (1, 2)
+    ]
+    digest = F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums)
+    return text.groupBy("_file").agg(digest.alias("digest"))
+
+
+def ingest_once(
+    spark: SparkSession,
+    path: str,
+    root: str,
+    date_formats: Sequence[str] | None = None,
+    multi_line: bool = True,
+) -> Load:
+    """Load the files that no earlier load under ``root`` holds, all of them or none.
+
+    Raw rows, import log and the ledger of files are tables of one versioned store: they show
+    together when the version is published, so a run that breaks off leaves nothing and can
+    be repeated, and a rerun adds no row. A file is known by the digest of its records, not by
+    its name; of equal files in one load the one of the first name is taken. A load without
+    new files makes no version and no log line. ``ingest_csv`` goes on adding rows each time.
+    """
+    store = VersionedStore(spark, root)
+    base = store.latest()
+    text = _read(spark, path, multi_line)
+    # One row per file.
+    found = file_digests(text).groupBy("digest").agg(F.min("_file").alias("_file"))
+    if base is not None:
+        found = found.join(base.read("files").select("digest"), "digest", "left_anti")
+    found = materialise(spark, found, "new_files")
+    if base is not None and found.isEmpty():
+        return Load(base.read("raw").drop("load"), base.read("log").drop("load"))
+    commit = store.begin(base)
+    number, own = F.lit(commit.version), [str(commit.version)]
+    fresh = text.join(found.select("_file"), "_file", "left_semi").select(*text.columns)
+    load = _Rows(spark, fresh, date_formats)
+    commit.write("raw", load.rows.withColumn("load", number), "load", own)
+    sizes = file_sizes(spark, path).join(
+        found.select(F.col("_file").alias("file")), "file", "left_semi"
+    )
+    commit.write("log", load.log_entry(sizes, path).withColumn("load", number), "load", own)
+    commit.write("files", found.withColumn("load", number), "load", own)
+    at = commit.publish()
+    return Load(at.read("raw").drop("load"), at.read("log").drop("load"))
+
+
 def verify_load(raw: DataFrame) -> DataFrame:
     """Row total and exact distinct counts."""
     return raw.agg(
