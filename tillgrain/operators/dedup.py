@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillgrain.rules import ROW_KEY
+from tillgrain.sources.tables import materialise
 
 STAGED_TIE_BREAK = ("quantity", "unit_price", "customer_id", "country")
 # Rows of one key that a task ranks by itself; a key with more is split.
 HOT_ROWS = 1_000_000
+# Repeated keys whose hashes are broadcast, eight bytes each, to tell the rows that need no rank.
+REPEATED_KEYS = 1_000_000
 
 RAW_TIE_BREAK = ("quantity", "unit_price", "customer_id", "country", "description")
 
@@ -66,6 +69,24 @@ def mark_duplicates(raw: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return rest.select(*raw.columns, "is_duplicate").unionByName(_rank_by_slice(split, order))
 
 
+def mark_repeated(raw: DataFrame, repeated_keys: int = REPEATED_KEYS) -> DataFrame:
+    """``mark_duplicates`` that deals only the rows of repeated keys.
+
+    A row whose key occurs once is 0 without a rank and is not shuffled. Hashes of the keys are
+    counted while planning; those that occur again are stored and broadcast. A table with more
+    than ``repeated_keys`` of them is marked as a whole.
+    """
+    hashed = raw.withColumn("_hash", F.xxhash64(*ROW_KEY))
+    counted = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    repeated = materialise(raw.sparkSession, counted.select("_hash"), "repeated_keys")
+    if repeated.count() > repeated_keys:
+        return mark_duplicates(raw)
+    known = F.broadcast(repeated)
+    once = hashed.join(known, "_hash", "left_anti").withColumn("is_duplicate", F.lit(0))
+    rest = hashed.join(known, "_hash", "left_semi").select(*raw.columns)
+    return once.select(*raw.columns, "is_duplicate").unionByName(mark_duplicates(rest))
+
+
 def _rank_by_slice(rows: DataFrame, order: list[Column]) -> DataFrame:
     """Mark all but the first row per key when a key may hold any number of rows.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillgrain.functions import flags
-from tillgrain.operators.dedup import RAW_TIE_BREAK, mark_duplicates
+from tillgrain.operators.dedup import RAW_TIE_BREAK, mark_repeated
 from tillgrain.rules import CleanRules
 from tillgrain.sources.tables import materialise
 
@@ -34,7 +34,7 @@ def row_flags(rules: CleanRules) -> dict[str, Column]:
 def flag_rows(spark: SparkSession, raw: DataFrame, rules: CleanRules) -> DataFrame:
     """Source columns plus all 17 flags."""
     own = row_flags(rules)
-    return mark_duplicates(raw).select(
+    return mark_repeated(raw).select(
         *OUTPUT_COLUMNS, *[f.alias(n) for n, f in own.items()], "is_duplicate"
     )
 
@@ -57,7 +57,7 @@ def numbered_row_flags(
 
     Equal rows are numbered with the unflagged one first.
     """
-    marked = with_row_id(spark, mark_duplicates(raw), (*ROW_ORDER, "is_duplicate"))
+    marked = with_row_id(spark, mark_repeated(raw), (*ROW_ORDER, "is_duplicate"))
     own = [f.alias(n) for n, f in row_flags(rules).items()]
     flagged = marked.select("row_id", *OUTPUT_COLUMNS, *own, "is_duplicate")
     return _error_counts(flagged, ("row_id",), checked_at)

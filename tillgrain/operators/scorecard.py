@@ -99,8 +99,11 @@ def _key_metrics() -> list[str]:
     ]
 
 
-def metric_rows(raw: DataFrame, rules: CleanRules) -> DataFrame:
-    """The 23 metrics: one scan for three dimensions, one key shuffle for uniqueness."""
+def metric_rows(
+    raw: DataFrame, rules: CleanRules, key_counts: DataFrame | None = None
+) -> DataFrame:
+    """The 23 metrics: one scan for three dimensions, one key shuffle for uniqueness, which
+    ``key_counts`` (``quality.uniqueness_counts``) saves where it is known."""
     counts = quality.scanned_flags(raw, rules).agg(
         quality.row_count(),
         *quality.completeness_counts(),
@@ -113,7 +116,9 @@ def metric_rows(raw: DataFrame, rules: CleanRules) -> DataFrame:
         "invalid_row_count": total - F.col("fully_valid_row_count"),
     }
     scanned = counts.withColumns(rest).select(_as_rows(_scan_metrics()))
-    keyed = quality.uniqueness_counts(raw).select(_as_rows(_key_metrics()))
+    if key_counts is None:
+        key_counts = quality.uniqueness_counts(raw)
+    keyed = key_counts.select(_as_rows(_key_metrics()))
     # An empty table has no completeness and no validity.
     meaningful = F.col("dimension").isin("uniqueness", "consistency") | (total > 0)
     return (
@@ -144,14 +149,19 @@ def _overall() -> list[Column]:
     ]
 
 
-def scorecard(raw: DataFrame, rules: CleanRules, run_at: Column | None = None) -> DataFrame:
+def scorecard(
+    raw: DataFrame,
+    rules: CleanRules,
+    run_at: Column | None = None,
+    key_counts: DataFrame | None = None,
+) -> DataFrame:
     """24 rows: the metrics and their mean rate as the overall score.
 
     Grouping sets give the metrics and the grand total from one pass over the
     23 rows, so the raw table is not scanned again for the score.
     """
     *aggregates, table_rows = _overall()
-    rows = metric_rows(raw, rules).withColumn("_table_rows", table_rows)
+    rows = metric_rows(raw, rules, key_counts).withColumn("_table_rows", table_rows)
     labels = [F.col(c) for c in LABELS]
     overall = F.col("_is_overall")
     scored = rows.groupingSets([labels, []], *labels).agg(*aggregates)

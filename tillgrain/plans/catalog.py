@@ -8,6 +8,9 @@ results can be compared across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +25,6 @@ from tillgrain.operators import (
     rowflags,
     scorecard,
     snapshot,
-    staging,
 )
 from tillgrain.plans import incremental, suite
 from tillgrain.plans.key_store import KeyStore
@@ -57,6 +59,39 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     return Lakehouse(spark, stored_lines(spark, sf_dir), STAR_RULES)
 
 
+def _kept(name: str) -> cached_property:
+    """A table of the lakehouse that is written on first use."""
+    plan = getattr(Lakehouse, name).func
+    return cached_property(
+        lambda house: stored_once(house.spark, name, house.source, lambda: plan(house))
+    )
+
+
+@dataclass(frozen=True)
+class StoredTables(Lakehouse):
+    """Tables of a source folder. Those that take a shuffle are stored on first use, and what
+    builds on them reads them stored; the others are projections of these."""
+
+    source: str = ""
+
+    txn_deduplicated = _kept("txn_deduplicated")
+    customer_activity_months = _kept("customer_activity_months")
+    composite_grain = _kept("composite_grain")
+    customer_rfm = _kept("customer_rfm")
+    dq_completeness = _kept("dq_completeness")
+    dq_validity = _kept("dq_validity")
+    uniqueness_counts = _kept("uniqueness_counts")
+    dq_uniqueness = _kept("dq_uniqueness")
+    dq_consistency = _kept("dq_consistency")
+    dq_summary = _kept("dq_summary")
+    dq_row_level_flags = _kept("dq_row_level_flags")
+    dq_usable_summary = _kept("dq_usable_summary")
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> StoredTables:
+    return StoredTables(spark, stored_lines(spark, sf_dir), STAR_RULES, sf_dir)
+
+
 def _over(build: Callable[[Lakehouse], DataFrame]) -> Query:
     return lambda spark, sf_dir: reported(build(lakehouse(spark, sf_dir)))
 
@@ -137,8 +172,8 @@ def _quoted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class _State:
-    """Stored transactions by month, the facts an earlier run derived from part of them, and the
-    balances it left for the months before the next run's look-back."""
+    """Stored monthly totals by month, the facts an earlier run derived from the earlier of them,
+    and the balances it left for the months before the next run's look-back."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         house = lakehouse(spark, sf_dir)
@@ -149,26 +184,25 @@ class _State:
             return stored_once(spark, label, sf_dir, build, partition_by)
 
         self.rules = house.rules
-        self.filtered = stored("txn_filtered", lambda: house.txn_filtered)
-        earlier = self.filtered.where(F.col("invoice_date") < F.lit(INCREMENT_FROM))
-        by_month = "snapshot_date"
-        self.rfm = stored(
-            "earlier_rfm", lambda: rfm.rfm_full_refresh(earlier, self.rules), by_month
+        # The increment begins with a month, so the totals of the earlier lines are those of the
+        # earlier months: the lines are deduplicated and added up once for both runs.
+        self.totals = stored(
+            "totals_by_month", lambda: balances.totals_of(house.txn_filtered), "txn_month"
         )
-        self.lines = stored(
-            "txn_by_month", lambda: balances.month_column(self.filtered), "txn_month"
+        first_new = F.to_date(F.lit(INCREMENT_FROM))
+        earlier = self.totals.where(F.col("txn_month") < first_new)
+        self.rfm = stored(
+            "earlier_rfm", lambda: rfm.rfm_of_months(earlier, self.rules), "snapshot_date"
         )
         self.balances = stored(
             "earlier_balances",
-            lambda: balances.before(
-                snapshot.look_back_start(self.rfm), balances.totals_of(earlier)
-            ),
+            lambda: balances.before(snapshot.look_back_start(self.rfm), earlier),
         )
 
     def facts(self) -> DataFrame:
-        """RFM and grain after the next run; it reads no line from before its look-back."""
+        """RFM and grain after the next run; it reads no total from before its look-back."""
         since = snapshot.look_back_start(self.rfm)
-        opened = balances.totals_of(self.lines.where(F.col("txn_month") >= since))
+        opened = self.totals.where(F.col("txn_month") >= since)
         return incremental.facts_incremental(self.rfm, self.balances, opened, self.rules)
 
 
@@ -181,11 +215,13 @@ class _MovedState:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        state = _State(spark, sf_dir)
-        self.rules, self.filtered = state.rules, state.filtered
+        house = stored_tables(spark, sf_dir)
+        self._spark, self._sf_dir, self.rules = spark, sf_dir, house.rules
+        self.filtered = house.txn_filtered
         moved = F.pmod(F.xxhash64("invoice_no", "stock_code"), F.lit(23)) == 0
         renamed = F.pmod(F.xxhash64("customer_id"), F.lit(31)) == 0
-        earlier = self.filtered.where(F.col("invoice_date") < F.lit(INCREMENT_FROM)).withColumns(
+        before = F.col("invoice_date") < F.lit(INCREMENT_FROM)
+        self.earlier = self.filtered.where(before).withColumns(
             {
                 "invoice_date": F.when(
                     moved, F.col("invoice_date") - F.expr("INTERVAL 61 DAYS")
@@ -196,13 +232,21 @@ class _MovedState:
             }
         )
 
-        def stored(label: str, build: Callable[[], DataFrame]) -> DataFrame:
-            return stored_once(spark, label, sf_dir, build)
+    def _stored(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return stored_once(self._spark, label, self._sf_dir, build)
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return self._stored("moved_monthly", lambda: rfm.monthly_transactions(self.earlier))
 
-        self.monthly = stored("moved_monthly", lambda: rfm.monthly_transactions(earlier))
-        self.rfm = stored("moved_rfm", lambda: rfm.rfm_full_refresh(earlier, self.rules))
-        self.grain = stored(
-            "moved_grain", lambda: snapshot.composite_grain(earlier, self.rules)
+    @cached_property
+    def rfm(self) -> DataFrame:
+        return self._stored("moved_rfm", lambda: rfm.rfm_of_months(self.monthly, self.rules))
+
+    @cached_property
+    def grain(self) -> DataFrame:
+        return self._stored(
+            "moved_grain", lambda: snapshot.composite_grain(self.earlier, self.rules)
         )
 
 
@@ -246,13 +290,7 @@ def _store(
 
 
 def _clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    house = lakehouse(spark, sf_dir)
-    return stored_once(
-        spark,
-        "clean_lines",
-        sf_dir,
-        lambda: staging.enrich(house.txn_deduplicated).drop("rn"),
-    )
+    return stored_tables(spark, sf_dir).txn_enriched.drop("rn")
 
 
 def _store_look_back(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,8 +323,9 @@ def _store_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reported(current.read("customer_rfm"))
 
 
-# Buckets of the keys of a star-schema folder, which are few.
-STAR_BUCKETS = 8
+# Buckets of the keys of a star-schema folder: eight, or so many that a task has about a quarter
+# million lines of the folder in its bucket.
+STAR_BUCKETS, LINES_PER_BUCKET = 8, 250_000
 
 
 def _second_load(spark: SparkSession, sf_dir: str) -> tuple[KeyStore, Snapshot]:
@@ -295,7 +334,9 @@ def _second_load(spark: SparkSession, sf_dir: str) -> tuple[KeyStore, Snapshot]:
     early = F.coalesce(F.col("invoice_date") < F.lit(INCREMENT_FROM), F.lit(False))
     key = (spark.sparkContext.applicationId, "key_store", sf_dir)
     made = key in _STORES
-    store = KeyStore(spark, _STORES.setdefault(key, scratch_path(spark, "key_store")), STAR_BUCKETS)
+    # The count comes from the files' footers.
+    buckets = STAR_BUCKETS if made else max(STAR_BUCKETS, raw.count() // LINES_PER_BUCKET)
+    store = KeyStore(spark, _STORES.setdefault(key, scratch_path(spark, "key_store")), buckets)
     if not made:
         store.add(raw.where(~early))
     return store, store.staged(raw.where(early)).snapshot()
@@ -341,20 +382,9 @@ CHECK_QUERIES["check_equal_rowcount"] = CHECK_QUERIES.pop("check_equal_row_count
 CHECK_QUERIES["check_results"] = suite.all_checks(STAR_RULES)
 
 
-class StoredTables:
-    """Tables of a source folder, each computed and stored on first use."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self._house = lakehouse(spark, sf_dir)
-        self._spark, self._sf_dir = spark, sf_dir
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return stored_once(self._spark, name, self._sf_dir, lambda: self._house[name])
-
-
 def _check(name: str) -> Query:
     return lambda spark, sf_dir: reported(
-        checks.verdicts(checks.results(CHECK_QUERIES[name], StoredTables(spark, sf_dir)))
+        checks.verdicts(checks.results(CHECK_QUERIES[name], stored_tables(spark, sf_dir)))
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrain.operators import quality
-from tillgrain.operators.dedup import RAW_TIE_BREAK, mark_duplicates
+from tillgrain.operators.dedup import RAW_TIE_BREAK, mark_repeated
 from tillgrain.rules import RAW_COLUMNS, ROW_KEY
 from tillgrain.sources.versions import Buckets, Commit, Snapshot, VersionedStore
 
@@ -73,13 +73,17 @@ class KeyStore:
             commit.write("layout", layout.coalesce(1))
         buckets = self._buckets(commit.snapshot())
         own = [str(number)]
-        marked = mark_duplicates(raw.select(*RAW_COLUMNS)).withColumn("load", load)
+        marked = mark_repeated(raw.select(*RAW_COLUMNS)).withColumn("load", load)
         commit.write("flags", marked, "load", own)
         rows = commit.snapshot().read("flags", own)
-        keys = rows.groupBy(*_texts()).agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct(_place().alias("place"), "load")).alias("first")
-        )
-        commit.write("keys", keys.withColumn("load", load), "load", own, buckets)
+        earliest = F.struct(_place().alias("place"), "load")
+        # Every key of the load has one unflagged row, its earliest; the others are only counted.
+        one = rows.where(F.col("is_duplicate") == 0)
+        one = one.select(*_texts(), F.lit(1).cast("bigint").alias("n"), earliest.alias("first"))
+        more = rows.where(F.col("is_duplicate") != 0).groupBy(*_texts())
+        keys = one.unionByName(more.agg(F.count(F.lit(1)).alias("n")), allowMissingColumns=True)
+        united = lambda dealt: self._united(dealt).withColumn("load", load)
+        commit.write("keys", keys, "load", own, buckets, united)
         commit.write("overruled", self.overruled_by(commit).withColumn("load", load), "load", own)
         return commit
 

@@ -91,12 +91,16 @@ class Lakehouse(Mapping):
 
     @cached_property
     def composite_grain(self) -> DataFrame:
-        return snapshot.composite_grain(self.txn_filtered, self.rules)
+        return snapshot.grain_of_activity(self.customer_activity_months, self.rules)
 
     @cached_property
     def customer_rfm(self) -> DataFrame:
         return rfm.rfm_full_refresh(self.txn_filtered, self.rules)
 
+    @cached_property
+    def uniqueness_counts(self) -> DataFrame:
+        return quality.uniqueness_counts(self.raw)
+
     @cached_property
     def dq_completeness(self) -> DataFrame:
         return quality.completeness(self.raw)
@@ -107,7 +111,7 @@ class Lakehouse(Mapping):
 
     @cached_property
     def dq_uniqueness(self) -> DataFrame:
-        return quality.uniqueness(self.raw)
+        return quality.rated_uniqueness(self.uniqueness_counts)
 
     @cached_property
     def dq_consistency(self) -> DataFrame:
@@ -115,7 +119,7 @@ class Lakehouse(Mapping):
 
     @cached_property
     def dq_summary(self) -> DataFrame:
-        return scorecard.scorecard(self.raw, self.rules)
+        return scorecard.scorecard(self.raw, self.rules, key_counts=self.uniqueness_counts)
 
     @cached_property
     def dq_row_level_flags(self) -> DataFrame:

@@ -46,10 +46,11 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+    # Orders meet their customers first, so that lines are dealt by order and by part alone.
+    placed = table("orders").join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
     joined = (
         _spread(spark, table("lineitem"))
-        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     h = F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_linenumber") * 7

@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -149,15 +149,21 @@ class Commit:
         partition_by: str | None = None,
         replaces: Iterable[str | None] | None = None,
         buckets: Buckets | None = None,
+        per_bucket: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
         """Write a table, or the partitions ``replaces`` of one, and return what it then is.
 
         Partitions to be replaced that get no row are gone afterwards. Rows of a table in
-        ``buckets`` should be few per bucket key: they are dealt by it.
+        ``buckets`` should be few per bucket key: they are dealt by it. ``per_bucket`` is applied
+        to the dealt rows; what it groups by the buckets' columns needs no shuffle of its own.
         """
+        replaces = None if replaces is None else list(replaces)
         path = f"{self._store.root}/data/{name}/commit={self.id}"
         writer = df.write
-        if partition_by:
+        if partition_by and replaces is not None and len(replaces) == 1:
+            # All rows go into one folder: they are written as they lie.
+            writer = df.write.partitionBy(partition_by)
+        elif partition_by:
             # Few files per partition, large partitions split over several tasks.
             writer = df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
         if buckets is None:
@@ -165,8 +171,10 @@ class Commit:
         else:
             # Buckets are written through the catalog; the name is not needed afterwards.
             passing = f"{name}_{self.id}"
-            dealt = df.repartition(buckets.number, *buckets.columns).write.format("parquet")
-            dealt = dealt.bucketBy(buckets.number, *buckets.columns).sortBy(*buckets.columns)
+            df = df.repartition(buckets.number, *buckets.columns)
+            df = df if per_bucket is None else per_bucket(df)
+            dealt = df.write.format("parquet").bucketBy(buckets.number, *buckets.columns)
+            dealt = dealt.sortBy(*buckets.columns)
             dealt.partitionBy(partition_by).option("path", path).saveAsTable(passing)
             self._store.spark.sql(f"DROP TABLE {passing}")
         if partition_by:
