@@ -94,3 +94,19 @@ def test_one_folder_is_written_without_a_shuffle(spark, tmp_path):
     read = commit.write("t", rows, "load", ["1"])
     # As they lie: one file for each of the four splits.
     assert len(read.inputFiles()) == 4 and read.count() == 8
+
+
+def test_the_grain_is_written_as_the_facts_lie(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from tillgrain.operators import staging
+    from tillgrain.plans.stored_state import StateStore
+
+    dealt, hint = [], DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda df, *a: dealt.append(df.columns) or hint(df, *a))
+    house = catalog.stored_tables(spark, SMALL)
+    clean = staging.enrich(house.txn_deduplicated).drop("rn")
+    at = StateStore(spark, str(tmp_path), STAR_RULES).start(clean)
+    assert at.read("composite_grain").columns not in dealt
+    assert at.read("composite_grain").exceptAll(house.composite_grain).count() == 0
+    assert at.read("composite_grain").count() == house.composite_grain.count()

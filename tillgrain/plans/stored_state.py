@@ -93,7 +93,7 @@ class StateStore:
         kept = staging.keep_logical(stored)
         totals = commit.write("totals", balances.totals_of(kept), "txn_month")
         facts = commit.write(FACTS[1], rfm.rfm_of_months(totals, self.rules), "snapshot_date")
-        commit.write(FACTS[0], facts.select(*rfm.GRAIN), "snapshot_date")
+        commit.write(FACTS[0], facts.select(*rfm.GRAIN), "snapshot_date", clustered=True)
         closed = self._look_back(commit.snapshot())
         self._write_balances(commit, balances.before(_day(closed), totals), closed)
         return commit.publish()
@@ -222,7 +222,8 @@ class StateStore:
     def _write_facts(self, commit: Commit, facts: DataFrame, replaced: list[str]) -> None:
         commit.write(FACTS[1], facts, "snapshot_date", replaces=replaced)
         written = commit.snapshot().read(FACTS[1], only=replaced)
-        commit.write(FACTS[0], written.select(*rfm.GRAIN), "snapshot_date", replaces=replaced)
+        grain = written.select(*rfm.GRAIN)
+        commit.write(FACTS[0], grain, "snapshot_date", replaces=replaced, clustered=True)
 
     def _rewrite_affected(self, commit: Commit, base: Snapshot, changed: DataFrame) -> None:
         who = changed.groupBy("customer_id").agg(F.min("txn_month").alias("_from"))

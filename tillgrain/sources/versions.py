@@ -150,18 +150,21 @@ class Commit:
         replaces: Iterable[str | None] | None = None,
         buckets: Buckets | None = None,
         per_bucket: Callable[[DataFrame], DataFrame] | None = None,
+        clustered: bool = False,
     ) -> DataFrame:
         """Write a table, or the partitions ``replaces`` of one, and return what it then is.
 
         Partitions to be replaced that get no row are gone afterwards. Rows of a table in
         ``buckets`` should be few per bucket key: they are dealt by it. ``per_bucket`` is applied
         to the dealt rows; what it groups by the buckets' columns needs no shuffle of its own.
+        ``clustered`` rows lie by partition already, as read from a table stored so: they are
+        written as they lie, too.
         """
         replaces = None if replaces is None else list(replaces)
         path = f"{self._store.root}/data/{name}/commit={self.id}"
         writer = df.write
-        if partition_by and replaces is not None and len(replaces) == 1:
-            # All rows go into one folder: they are written as they lie.
+        if partition_by and (clustered or (replaces is not None and len(replaces) == 1)):
+            # All rows go into one folder, or a task's into few: they are written as they lie.
             writer = df.write.partitionBy(partition_by)
         elif partition_by:
             # Few files per partition, large partitions split over several tasks.
