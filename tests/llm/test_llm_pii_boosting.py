@@ -167,3 +167,27 @@ def test_edge_rows(spark):
     ]
     empty = spark.createDataFrame([], SCHEMA)
     assert pii_boosting.report(pii_boosting.find(empty, pii_boosting.learn(empty))).count() == 0
+
+
+def test_every_candidate_counts_in_learning(spark, monkeypatch):
+    """More candidates than a sample took, equal ones as one weighted row."""
+    seen, fit = [], boosted_trees.fit
+    def noted(x, y, weight):  # noqa: E306
+        seen.append((len(y), weight.sum()))
+        return fit(x, y, weight=weight)
+    monkeypatch.setattr(boosted_trees, "fit", noted)  # noqa: E305
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "concat('host 10.0.0.', id % 10, ' up') AS text")
+    model = pii_boosting.learn(docs)
+    rows, weight = seen[0]
+    assert rows < 20 and 25_000 < weight < 35_000 and model.thresholds[1] is not None
+
+
+def test_weights_stand_for_equal_rows():
+    rng = np.random.default_rng(7)
+    x, n = rng.integers(0, 6, size=(60, 3)), rng.integers(1, 9, size=60)
+    y = (x[:, 0] > x[:, 1]).astype(float)
+    odds = boosted_trees.log_odds(boosted_trees.fit(x, y, weight=n), x)
+    copies = boosted_trees.fit(np.repeat(x, n, axis=0), np.repeat(y, n))
+    assert odds == pytest.approx(boosted_trees.log_odds(copies, x))
+    least = pii_boosting._threshold(odds, y, n)
+    assert least == pii_boosting._threshold(np.repeat(odds, n), np.repeat(y, n))

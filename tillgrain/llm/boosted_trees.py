@@ -63,13 +63,16 @@ def _values(tree: Split | float, x: np.ndarray) -> np.ndarray:
     return np.where(left, _values(tree.left, x), _values(tree.right, x))
 
 
-def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> list[Split | float]:
-    """Trees whose sum is the log-odds of y."""
+def fit(
+    x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, weight: np.ndarray | None = None
+) -> list[Split | float]:
+    """Trees whose sum is the log-odds of y; ``weight`` counts equal rows as that many."""
+    weight = np.ones(y.size) if weight is None else weight
     trees: list[Split | float] = []
     odds = np.zeros(y.size)
     for _ in range(rounds if y.size else 0):
         chance = 1 / (1 + np.exp(-odds))
-        trees.append(_grow(x, y - chance, chance * (1 - chance), DEPTH))
+        trees.append(_grow(x, weight * (y - chance), weight * chance * (1 - chance), DEPTH))
         odds += _values(trees[-1], x)
     return trees
 

@@ -7,13 +7,13 @@ features, scored by boosted trees that stand in the plan as CASE expressions. Of
 candidates above their generator's threshold, those that touch no base span are added,
 leftmost first.
 
-The trees are fitted on the driver from at most ``SAMPLE_ROWS`` candidates, those of the
-smallest hash. Right are base spans, and candidates beside them with evidence that the base
+The trees are fitted on the driver from all candidates: Spark counts those of equal features
+and label, and one weighted row for each such group goes there. Right are base spans, and candidates beside them with evidence that the base
 patterns do not use: a number of a telephone's length after a word that announces one, an
 address whose dot is spelled out before a common top-level domain, a number with a card's
 first digit and check digit in dotted groups or after a word for cards. Candidates that overlap
-a base span without being one can never be added and are left out. Half of the sample fits the
-trees; the other half sets each generator's threshold: the lowest score from which on at least
+a base span without being one can never be added and are left out. Half of the candidates, by
+hash, fit the trees; the other half sets each generator's threshold: the lowest score from which on at least
 ``PRECISION`` of its candidates are right. A generator without such a score, or with fewer than
 ``LEAST_SEEN`` candidates above it, adds nothing.
 
@@ -38,7 +38,6 @@ from tillgrain.llm import boosted_trees
 from tillgrain.llm.support import materialise
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_ROWS = 20_000
 PRECISION = 0.99
 LEAST_SEEN = 8
 CONTEXT = 24
@@ -297,8 +296,8 @@ def _sampled(labelled: DataFrame, rows: int) -> list:
     return labelled.orderBy("h", "x", "y").limit(rows).collect()
 
 
-def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit the trees and set the thresholds on a bounded sample of candidates."""
+def learn(docs: DataFrame, rows: int | None = None) -> Model:
+    """Fit the trees and set the thresholds on all candidates, or on a sample of ``rows``."""
     each = _annotated(docs).where(F.size("_candidates") > 0)
     is_base, overlaps = F.lit(False), F.lit(False)
     for kind in KINDS:
@@ -317,20 +316,26 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     labelled = labelled.where(is_base | ~overlaps).select(
         F.xxhash64("doc_id", "c.start", "c.g").alias("h"), "c.x", right.cast("int").alias("y")
     )
-    sample = _sampled(labelled, rows)
-    x = np.array([r["x"] for r in sample], dtype=np.int64).reshape(-1, len(FEATURES))
-    y = np.array([r["y"] for r in sample], dtype=float)
-    fitting = np.arange(y.size) % 2 == 0
-    trees = boosted_trees.fit(x[fitting], y[fitting])
-    x, y = x[~fitting], y[~fitting]
+    if rows is not None:
+        labelled = docs.sparkSession.createDataFrame(_sampled(labelled, rows), labelled.schema)
+    half = F.pmod(F.col("h"), F.lit(2)).alias("half")
+    counted = labelled.groupBy(half, "x", "y").agg(F.count(F.lit(1)).alias("n")).collect()
+    groups = sorted((r["half"], r["x"], r["y"], r["n"]) for r in counted)
+    fitting = np.array([g[0] == 0 for g in groups], dtype=bool)
+    x = np.array([g[1] for g in groups], dtype=np.int64).reshape(-1, len(FEATURES))
+    y = np.array([g[2] for g in groups], dtype=float)
+    n = np.array([g[3] for g in groups], dtype=float)
+    trees = boosted_trees.fit(x[fitting], y[fitting], weight=n[fitting])
+    x, y, n = x[~fitting], y[~fitting], n[~fitting]
     odds = boosted_trees.log_odds(trees, x)
-    return Model(trees, tuple(_threshold(odds[x[:, 0] == k], y[x[:, 0] == k]) for k in range(len(GENERATORS))))
+    own = [x[:, 0] == k for k in range(len(GENERATORS))]
+    return Model(trees, tuple(_threshold(odds[of], y[of], n[of]) for of in own))
 
 
-def _threshold(odds: np.ndarray, y: np.ndarray) -> float | None:
+def _threshold(odds: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> float | None:
+    weight = np.ones(y.size) if weight is None else weight
     order = np.argsort(-odds, kind="stable")
-    odds, right = odds[order], np.cumsum(y[order])
-    seen = np.arange(1, y.size + 1)
+    odds, right, seen = odds[order], np.cumsum((y * weight)[order]), np.cumsum(weight[order])
     last = np.append(odds[1:] != odds[:-1], True) if y.size else np.zeros(0, dtype=bool)
     good = np.flatnonzero(last & (right >= PRECISION * seen) & (seen >= LEAST_SEEN))
     return float(odds[good[-1]]) if good.size else None
