@@ -107,3 +107,70 @@ def test_redaction_and_edge_rows(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert secret_crf.report(secret_crf.scan(docs, secret_crf.learn(docs))).count() == 0
+
+
+def test_every_token_takes_part():
+    text = "plain words, a-b 'x' (é) 12 \n end. \t"
+    words = secret_crf.tokens(text)
+    assert "".join(words) == text.rstrip()
+    field = Field(["any"])
+    field.emit[0, BEGIN] = 1.0
+    got = [text[a:b] for a, _, _, b in secret_crf.spans_of(text, field)]
+    assert got == [w.strip() for w in words] and got[:3] == ["plain", "words", ","]
+
+
+def test_whole_texts_are_decoded_exactly():
+    rng = np.random.default_rng(4)
+    parts = ["key", "=", ":", '"', "word", "Ab3dE6gH1jK2", "9f", " ", " ", "\n", ",", "zzZ"]
+    names = [f"{slot}={v}" for slot, size in secret_crf.SLOTS.items() for v in range(size)]
+    shapes = {n for p in parts if p.strip() for n in secret_crf._shape(p)}
+    kept = 0
+    for round_ in range(60):
+        field = Field(sorted({*names, *shapes, "any"}))
+        field.emit = rng.normal(size=field.emit.shape) * 2
+        field.emit[field.index["any"], OUTSIDE] += round_ / 4
+        field.step = rng.normal(size=(4, 3))
+        texts = ["".join(rng.choice(parts, size=int(rng.integers(0, 30)))) for _ in range(6)]
+        tagger = secret_crf.Tagger(field)
+        for text, got in zip(texts, tagger.tagged(texts), strict=True):
+            words = secret_crf.tokens(text)
+            if not words:
+                assert got == []
+                continue
+            numbers = np.array([0, 0, *(tagger.kinds[w] for w in words), 0, 0])
+            tags = secret_crf.best_path(tagger.scores(numbers)[2:-2].tolist(), field.step.tolist(), 3)
+            starts, ends = secret_crf.bounds(words)
+            want = []
+            for a, b, tag in zip(starts.tolist(), ends.tolist(), tags, strict=True):
+                if tag == BEGIN:
+                    want.append((a, b))
+                elif tag == INSIDE:
+                    want[-1] = (want[-1][0], b)
+            assert got == want
+            kept += 0 < len(want) < len(words)
+    assert kept > 20
+
+
+PROSE = (
+    "The key to a good harvest is patience: water early, and turn the soil twice a year. "
+    "Release v10.20.30.41 of 2024-01-02 runs on host 192.168.10.7 (see note [12]). "
+    "Contact Anna-Maria O'Neill, the secretary: she keeps well-known addresses. "
+)
+
+
+def test_a_secret_without_a_digit_is_found(spark):
+    def value(i, n=20):
+        return "".join("abcdefghijkmNPQRSTUVWXYZ"[b % 24] for b in hashlib.sha256(str(i).encode()).digest())[:n]
+
+    forms = ["password={}", "api_key: '{}'", 'secret = "{}"', "token:{}"]
+    rows = [(i, PROSE + forms[i % 4].format(value(i)) + " and so on. " + PROSE) for i in range(120)]
+    rows += [(1000 + i, PROSE * 2) for i in range(120)]
+    # Forms that no pattern knows are no evidence against them.
+    rows += [(2000 + i, f"{PROSE} pwd={value(-i)} {PROSE}") for i in range(40)]
+    field = secret_crf.learn(spark.createDataFrame(rows, SCHEMA))
+    text = PROSE + "use pwd=CorrectHorseBattery now. " + PROSE
+    assert [text[a:b] for a, _, _, b in secret_crf.spans_of(text, field)] == ["CorrectHorseBattery"]
+    assert secret_crf.spans_of(PROSE * 3, field) == []
+    # A long chain of candidates takes seconds, not minutes.
+    long = ",".join(hashlib.md5(str(i).encode()).hexdigest().upper() for i in range(30_000))
+    assert len(secret_crf.spans_of(long, field)) <= 30_000
