@@ -44,6 +44,17 @@ def test_base_measures_match_brute_force(spark):
         assert tuple(r)[1:] == measures(texts[r["doc_id"]])
 
 
+def test_classes_are_counted_without_the_frequent_characters(spark):
+    texts = ["", "plain words\nonly", "ÄÖ äö Aé9,.#\t\r\x0b\x1c \U0001f600\U0001d400", "A" * 5000, "a b\n" * 5000]
+    docs = spark.createDataFrame([(t,) for t in texts], "t string")
+    each = [F.regexp_count("t", F.lit(c)).cast("bigint") for c in quality.CLASSES.values()]
+    got = docs.select(quality._class_counts(F.col("t")).alias("c"), F.array(*each).alias("each"), F.length("t"))
+    for r in got.collect():
+        assert r["c"] == [*r["each"], r[2]]
+    # One pass takes them out; the passes per class read the rest.
+    assert "regexp_replace(t" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_jensen_shannon_matches_numpy(spark):
     rng = np.random.default_rng(9)
     q = rng.dirichlet(np.ones(6))

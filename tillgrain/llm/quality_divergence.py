@@ -67,10 +67,19 @@ def _with_words(docs: DataFrame) -> DataFrame:
     )
 
 
+# Characters of no class that most of a text consists of: taken out in runs before counting.
+FREQUENT = r"[a-z \n]+"
+
+
 def _class_counts(text: Column) -> Column:
-    """Characters per class, and the others."""
-    counts = [F.regexp_count(text, F.lit(of_class)) for of_class in CLASSES.values()]
-    return F.array(*[n.cast("bigint") for n in counts], F.length(text).cast("bigint"))
+    """Characters per class, and the total."""
+    counts = _let(
+        F.regexp_replace(text, FREQUENT, ""),
+        lambda rest: F.array(
+            *[F.regexp_count(rest, F.lit(c)).cast("bigint") for c in CLASSES.values()]
+        ),
+    )
+    return F.concat(counts, F.array(F.length(text).cast("bigint")))
 
 
 def _split_rest(counts: Column) -> Column:
