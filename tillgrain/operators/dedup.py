@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -69,22 +71,52 @@ def mark_duplicates(raw: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return rest.select(*raw.columns, "is_duplicate").unionByName(_rank_by_slice(split, order))
 
 
-def mark_repeated(raw: DataFrame, repeated_keys: int = REPEATED_KEYS) -> DataFrame:
-    """``mark_duplicates`` that deals only the rows of repeated keys.
+@dataclass(frozen=True)
+class ByKey:
+    """The rows of a raw table in two parts that share no key, trimmed or not."""
+
+    once: DataFrame | None
+    rest: DataFrame
+
 
-    A row whose key occurs once is 0 without a rank and is not shuffled. Hashes of the keys are
-    counted while planning; those that occur again are stored and broadcast. A table with more
-    than ``repeated_keys`` of them is marked as a whole.
+def by_key(raw: DataFrame, repeated_keys: int = REPEATED_KEYS) -> ByKey:
+    """Rows whose trimmed key occurs once, and the others.
+
+    Hashes of the trimmed keys are counted while planning; those that occur again are stored and
+    broadcast, and their rows are stored, so that only these are dealt by key. A table with more
+    than ``repeated_keys`` of them is the rest as a whole.
     """
-    hashed = raw.withColumn("_hash", F.xxhash64(*ROW_KEY))
+    spark = raw.sparkSession
+    hashed = raw.withColumn("_hash", F.xxhash64(*[F.trim(c) for c in ROW_KEY]))
     counted = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    repeated = materialise(raw.sparkSession, counted.select("_hash"), "repeated_keys")
+    repeated = materialise(spark, counted.select("_hash"), "repeated_keys")
     if repeated.count() > repeated_keys:
-        return mark_duplicates(raw)
+        return ByKey(None, raw)
     known = F.broadcast(repeated)
-    once = hashed.join(known, "_hash", "left_anti").withColumn("is_duplicate", F.lit(0))
+    once = hashed.join(known, "_hash", "left_anti").select(*raw.columns)
     rest = hashed.join(known, "_hash", "left_semi").select(*raw.columns)
-    return once.select(*raw.columns, "is_duplicate").unionByName(mark_duplicates(rest))
+    return ByKey(once, materialise(spark, rest, "repeated_rows"))
+
+
+def keep_latest_by_key(rows: ByKey, staged: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``keep_latest`` of the staged table that deals only the rows of repeated keys."""
+    latest = keep_latest(staged(rows.rest))
+    if rows.once is None:
+        return latest
+    return staged(rows.once).withColumn("rn", F.lit(1)).unionByName(latest)
+
+
+def mark_by_key(rows: ByKey) -> DataFrame:
+    """``mark_duplicates`` that deals only the rows of repeated keys; the others are 0."""
+    marked = mark_duplicates(rows.rest)
+    if rows.once is None:
+        return marked
+    return rows.once.withColumn("is_duplicate", F.lit(0)).unionByName(marked)
+
+
+def mark_repeated(raw: DataFrame, repeated_keys: int = REPEATED_KEYS) -> DataFrame:
+    """``mark_by_key`` of a table whose keys were not counted before."""
+    return mark_by_key(by_key(raw, repeated_keys))
 
 
 def _rank_by_slice(rows: DataFrame, order: list[Column]) -> DataFrame:

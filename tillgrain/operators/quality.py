@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillgrain.functions import flags
 from tillgrain.functions.rates import RATE, complement_share, share
-from tillgrain.operators.dedup import key_counts
+from tillgrain.operators.dedup import ByKey, key_counts
 from tillgrain.rules import DQ_MODEL, ROW_KEY, CleanRules
 
 def _n_total() -> Column:
@@ -75,6 +75,13 @@ def _select(raw: DataFrame, kept: tuple[str, ...], columns: dict[str, Column]) -
     return raw.select(*kept, *[c.alias(name) for name, c in columns.items()])
 
 
+def scanned_counts(raw: DataFrame, rules: CleanRules) -> DataFrame:
+    """One row: what completeness, validity and consistency count, from one scan."""
+    return scanned_flags(raw, rules).agg(
+        row_count(), *completeness_counts(), *validity_counts(), *consistency_counts()
+    )
+
+
 def scanned_flags(raw: DataFrame, rules: CleanRules) -> DataFrame:
     """All flags that need no shuffle, from one scan."""
     columns = {
@@ -115,11 +122,14 @@ def completeness_rates() -> dict[str, Column]:
 
 def completeness(raw: DataFrame, run_at: Column | None = None) -> DataFrame:
     """No row for an empty table."""
-    flagged = completeness_flags(raw)
-    counts = flagged.agg(row_count(), *completeness_counts()).where(_n_total() > 0)
+    counts = completeness_flags(raw).agg(row_count(), *completeness_counts())
+    return rated_completeness(counts, run_at)
+
+
+def rated_completeness(counts: DataFrame, run_at: Column | None = None) -> DataFrame:
     derived = completeness_rates()
     names = [f"{c}_completeness_rate" for c in flags.COMPLETENESS_COLUMNS]
-    return counts.withColumns(derived).select(
+    return counts.where(_n_total() > 0).withColumns(derived).select(
         "n_total",
         *names,
         "fully_complete_row_count",
@@ -156,9 +166,12 @@ def validity_rates() -> dict[str, Column]:
 
 def validity(raw: DataFrame, rules: CleanRules, run_at: Column | None = None) -> DataFrame:
     """No row for an empty table."""
-    flagged = validity_flags(raw, rules)
-    counts = flagged.agg(row_count(), *validity_counts()).where(_n_total() > 0)
-    return counts.withColumns(validity_rates()).select(
+    counts = validity_flags(raw, rules).agg(row_count(), *validity_counts())
+    return rated_validity(counts, run_at)
+
+
+def rated_validity(counts: DataFrame, run_at: Column | None = None) -> DataFrame:
+    return counts.where(_n_total() > 0).withColumns(validity_rates()).select(
         "n_total",
         *[f"{c}_invalid_count" for c in flags.VALIDITY_COLUMNS],
         *[f"{c}_validity_rate" for c in flags.VALIDITY_COLUMNS],
@@ -191,6 +204,20 @@ def uniqueness_counts(raw: DataFrame) -> DataFrame:
     return uniqueness_of(key_counts(known_keys(raw)))
 
 
+def uniqueness_by_key(rows: ByKey) -> DataFrame:
+    """The same from the table by key: keys that occur once are not dealt."""
+    repeated = key_counts(known_keys(rows.rest))
+    if rows.once is None:
+        return uniqueness_of(repeated)
+    single = known_keys(rows.once).agg(F.count(F.lit(1)).alias("n_single"))
+    counted = uniqueness_of(repeated)
+    return counted.crossJoin(single).select(
+        (_n_total() + F.col("n_single")).alias("n_total"),
+        "composite_duplicate_group_count",
+        "composite_duplicate_row_count",
+    )
+
+
 def uniqueness_of(counts: DataFrame) -> DataFrame:
     seen = F.col("occurrence_count")
     return known_keys(counts).agg(
@@ -244,7 +271,10 @@ def consistency_rates() -> dict[str, Column]:
 
 def consistency(raw: DataFrame, run_at: Column | None = None) -> DataFrame:
     flagged = _select(raw, (), _consistency_columns())
-    counts = flagged.agg(row_count(), *consistency_counts())
+    return rated_consistency(flagged.agg(row_count(), *consistency_counts()), run_at)
+
+
+def rated_consistency(counts: DataFrame, run_at: Column | None = None) -> DataFrame:
     return counts.withColumns(consistency_rates()).select(
         "n_total",
         "sale_with_zero_price_count",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillgrain.functions import flags
-from tillgrain.operators.dedup import RAW_TIE_BREAK, mark_repeated
+from tillgrain.operators.dedup import RAW_TIE_BREAK, ByKey, mark_by_key, mark_repeated
 from tillgrain.rules import CleanRules
 from tillgrain.sources.tables import materialise
 
@@ -31,23 +31,29 @@ def row_flags(rules: CleanRules) -> dict[str, Column]:
     }
 
 
-def flag_rows(spark: SparkSession, raw: DataFrame, rules: CleanRules) -> DataFrame:
-    """Source columns plus all 17 flags."""
+def flag_rows(
+    spark: SparkSession, raw: DataFrame, rules: CleanRules, rows: ByKey | None = None
+) -> DataFrame:
+    """Source columns plus all 17 flags; ``rows`` is the table by key, where that is known."""
     own = row_flags(rules)
-    return mark_repeated(raw).select(
+    return (mark_repeated(raw) if rows is None else mark_by_key(rows)).select(
         *OUTPUT_COLUMNS, *[f.alias(n) for n, f in own.items()], "is_duplicate"
     )
 
 
 def row_level_flags(
-    spark: SparkSession, raw: DataFrame, rules: CleanRules, checked_at: Column | None = None
+    spark: SparkSession,
+    raw: DataFrame,
+    rules: CleanRules,
+    checked_at: Column | None = None,
+    rows: ByKey | None = None,
 ) -> DataFrame:
     """Each raw row with its number of broken rules (0-17).
 
     All flags are computed on the row itself, so a row always gets its own
     flags. The rows are not sorted; sort when exporting.
     """
-    return _error_counts(flag_rows(spark, raw, rules), (), checked_at)
+    return _error_counts(flag_rows(spark, raw, rules, rows), (), checked_at)
 
 
 def numbered_row_flags(

@@ -29,7 +29,7 @@ class Lakehouse(Mapping):
 
     Works as a mapping from table name to DataFrame. A table is planned when it is
     first asked for, and one that is used alone reads only the columns it needs.
-    Only the row flags run a job while planning: the repeated keys.
+    Deduplicated lines and row flags run jobs while planning: the repeated keys.
     """
 
     spark: SparkSession
@@ -65,13 +65,20 @@ class Lakehouse(Mapping):
     def __len__(self) -> int:
         return len(self.NAMES)
 
+    @cached_property
+    def by_key(self) -> dedup.ByKey:
+        """The raw lines by whether their key occurs again: counted once for all that ask."""
+        return dedup.by_key(self.raw)
+
     @cached_property
     def stg_cleaned(self) -> DataFrame:
         return staging.stage(self.raw, self.rules)
 
     @cached_property
     def txn_deduplicated(self) -> DataFrame:
-        return dedup.keep_latest(self.stg_cleaned)
+        return dedup.keep_latest_by_key(
+            self.by_key, lambda raw: staging.stage(raw, self.rules)
+        )
 
     @cached_property
     def txn_enriched(self) -> DataFrame:
@@ -123,7 +130,7 @@ class Lakehouse(Mapping):
 
     @cached_property
     def dq_row_level_flags(self) -> DataFrame:
-        return rowflags.row_level_flags(self.spark, self.raw, self.rules)
+        return rowflags.row_level_flags(self.spark, self.raw, self.rules, rows=self.by_key)
 
     @cached_property
     def dq_usable_summary(self) -> DataFrame:
