@@ -2,7 +2,7 @@
 
 A check reads one or two named tables and yields (check_name, failing_rows,
 severity); zero failing rows is a pass. ``violations`` gives the rows
-themselves. All row-level checks of a table share one scan.
+themselves. All row-level checks of a table share one scan, and so do its value lists.
 """
 
 from __future__ import annotations
@@ -169,6 +169,10 @@ def _row_level_results(checks: list[Check], df: DataFrame) -> DataFrame:
     counted = df.agg(
         *[_row_level_count(c).cast("bigint").alias(f"c{i}") for i, c in enumerate(checks)]
     )
+    return _one_row_each(checks, counted)
+
+
+def _one_row_each(checks: list[Check], counted: DataFrame) -> DataFrame:
     rows = [
         F.struct(
             F.lit(c.name).alias("check_name"),
@@ -180,6 +184,33 @@ def _row_level_results(checks: list[Check], df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+def _accepted_values_results(checks: list[Check], df: DataFrame) -> DataFrame:
+    """One scan for the value lists of a table.
+
+    Failing rows are few: they are filtered first, then each failing value becomes a row, typed as
+    it is, with the number of its check; these are grouped before they are counted.
+    """
+    columns = [c.columns[0] for c in checks]
+    types = [f.dataType for f in df.select(*columns).schema]
+
+    def unlisted(i: int) -> Column:
+        held = [
+            (F.col(c) if j == i else F.lit(None).cast(types[j])).alias(f"v{j}")
+            for j, c in enumerate(columns)
+        ]
+        return F.when(_broken(checks[i]), F.struct(F.lit(i).alias("check"), *held))
+
+    failing = df.where(reduce(Column.__or__, [_broken(c) for c in checks]))
+    found = F.array_compact(F.array(*[unlisted(i) for i in range(len(checks))]))
+    values = failing.select(F.explode(found).alias("value"))
+    counted = (
+        values.select("value.*")
+        .distinct()
+        .agg(*[F.count_if(F.col("check") == i).alias(f"c{i}") for i in range(len(checks))])
+    )
+    return _one_row_each(checks, counted)
+
+
 def _row_total(df: DataFrame, sign: int) -> DataFrame:
     return df.agg((F.count(F.lit(1)) * sign).alias("rows"))
 
@@ -194,9 +225,6 @@ def _table_level_result(check: Check, tables: Tables) -> DataFrame:
             _row_total(tables[check.other_table], -1)
         )
         counted = both.agg(F.abs(F.sum("rows")).alias("failing_rows"))
-    elif check.kind == "accepted_values":
-        # Failing rows are few: they are filtered first, then grouped by value.
-        counted = violations(check, tables).agg(F.count(F.lit(1)).alias("failing_rows"))
     elif check.kind == "row_count":
         distance = F.abs(F.count(F.lit(1)) - check.values[0])
         counted = tables[check.table].agg(distance.alias("failing_rows"))
@@ -205,16 +233,36 @@ def _table_level_result(check: Check, tables: Tables) -> DataFrame:
     return _labelled(check, counted)
 
 
+def _scans(checks: list[Check]) -> list[list[Check]]:
+    """Checks by scan: those of a table that share one, then the others by themselves."""
+    shared = []
+    for table in dict.fromkeys(c.table for c in checks):
+        own = [c for c in checks if c.table == table]
+        shared.append([c for c in own if c.kind in ROW_KINDS])
+        shared.append([c for c in own if c.kind == "accepted_values"])
+    single = [[c] for c in checks if c.kind not in (*ROW_KINDS, "accepted_values")]
+    return [s for s in shared if s] + single
+
+
+def parts(checks: Iterable[Check]) -> list[list[str]]:
+    """The tables that each part of the checks' results reads."""
+    return [
+        [t for t in (scan[0].table, scan[0].other_table) if t] for scan in _scans(list(checks))
+    ]
+
+
+def _scan_results(scan: list[Check], tables: Tables) -> DataFrame:
+    if scan[0].kind in ROW_KINDS:
+        return _row_level_results(scan, tables[scan[0].table])
+    if scan[0].kind == "accepted_values":
+        return _accepted_values_results(scan, tables[scan[0].table])
+    return _table_level_result(scan[0], tables)
+
+
 def results(checks: Iterable[Check], tables: Tables) -> DataFrame:
     """(check_name, failing_rows, severity) for every check."""
-    checks = list(checks)
-    parts = []
-    for table in dict.fromkeys(c.table for c in checks):
-        row_level = [c for c in checks if c.table == table and c.kind in ROW_KINDS]
-        if row_level:
-            parts.append(_row_level_results(row_level, tables[table]))
-    parts += [_table_level_result(c, tables) for c in checks if c.kind not in ROW_KINDS]
-    return reduce(DataFrame.unionByName, parts)
+    found = [_scan_results(scan, tables) for scan in _scans(list(checks))]
+    return reduce(DataFrame.unionByName, found)
 
 
 def verdicts(outcome: DataFrame) -> DataFrame:

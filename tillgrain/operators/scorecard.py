@@ -100,16 +100,16 @@ def _key_metrics() -> list[str]:
 
 
 def metric_rows(
-    raw: DataFrame, rules: CleanRules, key_counts: DataFrame | None = None
+    raw: DataFrame,
+    rules: CleanRules,
+    key_counts: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """The 23 metrics: one scan for three dimensions, one key shuffle for uniqueness, which
-    ``key_counts`` (``quality.uniqueness_counts``) saves where it is known."""
-    counts = quality.scanned_flags(raw, rules).agg(
-        quality.row_count(),
-        *quality.completeness_counts(),
-        *quality.validity_counts(),
-        *quality.consistency_counts(),
-    )
+    ``counts`` (``quality.scanned_counts``) and ``key_counts`` (``quality.uniqueness_counts``)
+    save where they are known."""
+    if counts is None:
+        counts = quality.scanned_counts(raw, rules)
     total = F.col("n_total")
     rest = {
         "incomplete_row_count": total - F.col("fully_complete_row_count"),
@@ -154,6 +154,7 @@ def scorecard(
     rules: CleanRules,
     run_at: Column | None = None,
     key_counts: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """24 rows: the metrics and their mean rate as the overall score.
 
@@ -161,7 +162,7 @@ def scorecard(
     23 rows, so the raw table is not scanned again for the score.
     """
     *aggregates, table_rows = _overall()
-    rows = metric_rows(raw, rules, key_counts).withColumn("_table_rows", table_rows)
+    rows = metric_rows(raw, rules, key_counts, counts).withColumn("_table_rows", table_rows)
     labels = [F.col(c) for c in LABELS]
     overall = F.col("_is_overall")
     scored = rows.groupingSets([labels, []], *labels).agg(*aggregates)

@@ -7,6 +7,7 @@ results can be compared across engines.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -32,7 +33,7 @@ from tillgrain.plans.pipeline import Lakehouse
 from tillgrain.plans.stored_state import StateStore
 from tillgrain.sources import dates, ingest
 from tillgrain.sources.star_adapter import STAR_RULES, stored_lines
-from tillgrain.sources.tables import materialise, scratch_path, stored_once
+from tillgrain.sources.tables import is_stored, materialise, scratch_path, stored_once
 from tillgrain.sources.versions import Snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,37 +60,75 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     return Lakehouse(spark, stored_lines(spark, sf_dir), STAR_RULES)
 
 
-def _kept(name: str) -> cached_property:
-    """A table of the lakehouse that is written on first use."""
-    plan = getattr(Lakehouse, name).func
-    return cached_property(
-        lambda house: stored_once(house.spark, name, house.source, lambda: plan(house))
-    )
+def _kept(name: str, plan: Callable[[Lakehouse], DataFrame] | None = None) -> cached_property:
+    """A table of the lakehouse that is written on first use, unless it is read once."""
+    plan = plan or getattr(Lakehouse, name).func
+
+    def table(house: StoredTables) -> DataFrame:
+        if name in house.read_once and not is_stored(house.spark, name, house.source):
+            return plan(house)
+        return stored_once(house.spark, name, house.source, lambda: plan(house))
+
+    return cached_property(table)
+
+
+# What the declared checks and the summary read of the row flags; the rest is the raw table again.
+FLAG_COLUMNS = ("affected_row", "error_count", "dq_checked_at")
 
 
 @dataclass(frozen=True)
 class StoredTables(Lakehouse):
     """Tables of a source folder. Those that take a shuffle are stored on first use, and what
-    builds on them reads them stored; the others are projections of these."""
+    builds on them reads them stored; the others are projections of these. A table in
+    ``read_once`` is not stored, so that only the columns its one reader needs are computed.
+    Of the row flags ``FLAG_COLUMNS`` are kept."""
 
     source: str = ""
+    read_once: frozenset[str] = frozenset()
+
+    @cached_property
+    def scanned_counts(self) -> DataFrame:
+        """Stored, unless one table is made of it, which needs few of the counts."""
+        counts = quality.scanned_counts(self.raw, self.rules)
+        if "scanned_counts" in self.read_once:
+            return counts
+        return materialise(self.spark, counts, "scanned_counts")
 
     txn_deduplicated = _kept("txn_deduplicated")
     customer_activity_months = _kept("customer_activity_months")
     composite_grain = _kept("composite_grain")
     customer_rfm = _kept("customer_rfm")
-    dq_completeness = _kept("dq_completeness")
-    dq_validity = _kept("dq_validity")
-    uniqueness_counts = _kept("uniqueness_counts")
+    dq_completeness = _kept(
+        "dq_completeness", lambda house: quality.rated_completeness(house.scanned_counts)
+    )
+    dq_validity = _kept("dq_validity", lambda house: quality.rated_validity(house.scanned_counts))
+    uniqueness_counts = _kept(
+        "uniqueness_counts", lambda house: quality.uniqueness_by_key(house.by_key)
+    )
     dq_uniqueness = _kept("dq_uniqueness")
-    dq_consistency = _kept("dq_consistency")
-    dq_summary = _kept("dq_summary")
-    dq_row_level_flags = _kept("dq_row_level_flags")
+    dq_consistency = _kept(
+        "dq_consistency", lambda house: quality.rated_consistency(house.scanned_counts)
+    )
+    dq_summary = _kept(
+        "dq_summary",
+        lambda house: scorecard.scorecard(
+            house.raw,
+            house.rules,
+            key_counts=house.uniqueness_counts,
+            counts=house.scanned_counts,
+        ),
+    )
+    dq_row_level_flags = _kept(
+        "dq_row_level_flags",
+        lambda house: Lakehouse.dq_row_level_flags.func(house).select(*FLAG_COLUMNS),
+    )
     dq_usable_summary = _kept("dq_usable_summary")
 
 
-def stored_tables(spark: SparkSession, sf_dir: str) -> StoredTables:
-    return StoredTables(spark, stored_lines(spark, sf_dir), STAR_RULES, sf_dir)
+def stored_tables(
+    spark: SparkSession, sf_dir: str, read_once: frozenset[str] = frozenset()
+) -> StoredTables:
+    return StoredTables(spark, stored_lines(spark, sf_dir), STAR_RULES, sf_dir, read_once)
 
 
 def _over(build: Callable[[Lakehouse], DataFrame]) -> Query:
@@ -382,9 +421,34 @@ CHECK_QUERIES["check_equal_rowcount"] = CHECK_QUERIES.pop("check_equal_row_count
 CHECK_QUERIES["check_results"] = suite.all_checks(STAR_RULES)
 
 
+# The line-sized tables in the order they are built, last first, and what each is built from.
+BUILT_FROM = {
+    "customer_rfm": "txn_filtered",
+    "composite_grain": "customer_activity_months",
+    "customer_activity_months": "txn_filtered",
+    "txn_filtered": "txn_enriched",
+    "txn_enriched": "txn_deduplicated",
+    "txn_deduplicated": "",
+}
+PROJECTIONS = ("txn_filtered", "txn_enriched")
+# Tables made of ``scanned_counts``.
+COUNTED = {"dq_completeness", "dq_validity", "dq_consistency", "dq_summary"}
+
+
+def tables_read_once(found: list[checks.Check]) -> frozenset[str]:
+    """Tables that these checks, and the other tables they read, scan once."""
+    reads = Counter(table for part in checks.parts(found) for table in part)
+    for table, base in BUILT_FROM.items():
+        reads[base] += reads[table] if table in PROJECTIONS else min(reads[table], 1)
+    once = {t for t in BUILT_FROM if t not in PROJECTIONS and reads[t] == 1}
+    return frozenset(once | ({"scanned_counts"} if len(COUNTED & set(reads)) == 1 else set()))
+
+
 def _check(name: str) -> Query:
+    found = CHECK_QUERIES[name]
+    once = tables_read_once(found)
     return lambda spark, sf_dir: reported(
-        checks.verdicts(checks.results(CHECK_QUERIES[name], stored_tables(spark, sf_dir)))
+        checks.verdicts(checks.results(found, stored_tables(spark, sf_dir, once)))
     )
 
 

@@ -54,6 +54,11 @@ def materialise(
 _STORED: dict[tuple[str, ...], DataFrame] = {}
 
 
+def is_stored(spark: SparkSession, label: str, source: str) -> bool:
+    """Whether ``stored_once`` has written this table in this application."""
+    return (spark.sparkContext.applicationId, label, source) in _STORED
+
+
 def stored_once(
     spark: SparkSession,
     label: str,
