@@ -55,6 +55,34 @@ def test_classes_are_counted_without_the_frequent_characters(spark):
     assert "regexp_replace(t" in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_sought_words_are_counted_in_one_pass(spark):
+    rng = random.Random(10)
+    sought = sorted(["a", "aa", "b", "the", "The", "é", "zz", "\U0001f600", "\uffee"])
+    some = [*sought, "ab", "th", "z", "e", "zzz"]
+    texts = [[], ["ab"], ["zz"], ["a"] * 30_000, [*sought], ["zzz", "\U0001f600", "\U0001f600"]]
+    texts += [[rng.choice(some) for _ in range(rng.randrange(80))] for _ in range(60)]
+    rows = spark.createDataFrame([(t,) for t in texts], "w array<string>")
+    for few in (sought, ["the"], []):
+        for r in rows.select("w", quality.counts_of(F.col("w"), few).alias("n")).collect():
+            assert r["n"] == [r["w"].count(x) for x in few]
+    # The judgement uses it: no pass over the common words of a text for each of them.
+    docs = spark.createDataFrame([(1, "the cat sat", "en"), (2, "le chat", "fr")], SCHEMA)
+    plan = quality.judge(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_remove(lambda" not in plan and "sort_array(concat(filter(words" in plan
+
+
+def test_repeated_words_follow_the_windows_in_order(spark):
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice("abcd"[: rng.randrange(1, 5)]) for _ in range(n)) for n in range(120)]
+    texts += [f"{'x y z ' * k}{' '.join(f'w{i}' for i in range(n))} x y z x" for k in (0, 1, 2) for n in (0, 1, 2, 9)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], SCHEMA)
+    based = quality.base_rules(docs)
+    for r in based.collect():
+        assert r["n_repeat_words"] == measures(texts[r["doc_id"]])[4]
+    # Windows are sorted as numbers, not as structs with their places.
+    assert "sort_array(transform(_w" not in based._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_jensen_shannon_matches_numpy(spark):
     rng = np.random.default_rng(9)
     q = rng.dirichlet(np.ones(6))

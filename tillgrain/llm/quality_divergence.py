@@ -61,10 +61,12 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _with_words(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, t, its pieces between single blanks, and the words: those not empty."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", "lang", text.alias("t")).withColumn(
-        "words", F.filter(F.split("t", f"[{BLANKS}]+"), lambda w: w != "")
+    pieces = docs.select("doc_id", "lang", text.alias("t")).withColumn(
+        "_pieces", F.split("t", f"[{BLANKS}]")
     )
+    return pieces.withColumn("words", F.array_remove("_pieces", ""))
 
 
 # Characters of no class that most of a text consists of: taken out in runs before counting.
@@ -73,12 +75,14 @@ FREQUENT = r"[a-z \n]+"
 
 def _class_counts(text: Column) -> Column:
     """Characters per class, and the total."""
-    counts = _let(
-        F.regexp_replace(text, FREQUENT, ""),
-        lambda rest: F.array(
-            *[F.regexp_count(rest, F.lit(c)).cast("bigint") for c in CLASSES.values()]
-        ),
-    )
+
+    def of_classes(rest: Column) -> Column:
+        others = [F.length(F.regexp_replace(rest, f"{c}+", "")) for c in CLASSES.values()]
+        return _let(
+            F.length(rest), lambda n: F.array(*[(n - x).cast("bigint") for x in others])
+        )
+
+    counts = _let(F.regexp_replace(text, FREQUENT, ""), of_classes)
     return F.concat(counts, F.array(F.length(text).cast("bigint")))
 
 
@@ -92,41 +96,35 @@ def _split_rest(counts: Column) -> Column:
 # -- base rules --------------------------------------------------------------------
 
 
-def repeated_words(words: Column, windows: Column) -> Column:
+def repeated_words(windows: Column) -> Column:
     """Words inside 3-word windows (as hashes, by position) that occur twice or more."""
-    placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-
-    def covered(sorted_windows: Column) -> Column:
-        twice = F.filter(
-            F.transform(
-                sorted_windows,
-                lambda s, k: F.when(
-                    (s["h"] == F.get(sorted_windows, k + 1)["h"])
-                    | (s["h"] == F.get(sorted_windows, F.greatest(k - 1, F.lit(0)))["h"]) & (k > 0),
-                    s["i"],
-                ),
-            ),
-            lambda i: i.isNotNull(),
+
+    def covered(once: Column) -> Column:
+        # Windows that occur once keep their order, so the next of them is always entry ``k``;
+        # ``left`` are the words from here on that an earlier window has counted.
+        def step(seen: Column, window: Column) -> Column:
+            k, left, n = seen["k"], seen["left"], seen["n"]
+            return F.when(
+                window.eqNullSafe(F.get(once, k)), state(k + 1, F.greatest(left - 1, F.lit(0)), n)
+            ).otherwise(state(k, F.lit(2), n + 3 - left))
+
+        return F.aggregate(
+            windows, state(F.lit(0), F.lit(0), F.lit(0)), step, lambda seen: seen["n"]
         )
-        return F.transform(
-            F.array(F.sort_array(twice)),
-            lambda p: _total(
-                F.transform(
-                    p,
-                    lambda i, k: F.least(
-                        F.lit(3), F.coalesce(F.get(p, k + 1) - i, F.lit(3))
-                    ).cast("bigint"),
-                )
-            ),
-        )[0]
 
+    def state(k: Column, left: Column, n: Column) -> Column:
+        return F.struct(k.alias("k"), left.alias("left"), n.alias("n"))
+
+    twice = _let(
+        F.sort_array(windows), lambda s: F.filter(s, lambda h, k: h == F.get(s, k + 1))
+    )
     repeats = F.size(windows) > F.size(F.array_distinct(windows))
-    within = F.transform(F.array(placed), covered)[0]
+    within = _let(F.array_except(windows, twice), covered)
     return F.when(repeats, within).otherwise(F.lit(0)).cast("bigint")
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
-    """doc_id, t, words and the base measures."""
+    """doc_id, the words, class counts and the base measures."""
     windows = _let(
         F.transform("words", lambda w: F.xxhash64(w)),
         lambda h: F.transform(
@@ -135,16 +133,24 @@ def base_rules(docs: DataFrame) -> DataFrame:
         ),
     )
     lines = F.filter(F.split("t", "\n"), lambda line: line.rlike(f"[^{BLANKS}]"))
-    measured = _with_words(docs).withColumn("_w", windows).withColumn("_l", lines)
+    measured = (
+        _with_words(docs)
+        .withColumn("_w", windows)
+        .withColumn("_l", lines)
+        .withColumn("_c", _class_counts(F.col("t")))
+    )
+    symbols = F.get("_c", F.lit(list(CLASSES).index("symbol")))
+    length = F.get("_c", F.lit(len(CLASSES)))
+    blanks = F.size("_pieces") - 1
     return measured.select(
         "doc_id",
-        "t",
         "words",
+        "_c",
         F.size("words").cast("bigint").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
-        F.regexp_count("t", F.lit(CLASSES["symbol"])).cast("bigint").alias("n_symbols"),
+        (length - blanks).alias("word_chars"),
+        symbols.alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint").alias("n_dup_lines"),
-        repeated_words(F.col("words"), F.col("_w")).alias("n_repeat_words"),
+        repeated_words(F.col("_w")).alias("n_repeat_words"),
     ).withColumn(
         "base_failed",
         (F.col("n_words") < MIN_WORDS)
@@ -218,6 +224,30 @@ def jensen_shannon(counts: Column, sum_of_counts: Column, reference: Column) ->
     return F.when(sum_of_counts > 0, F.sqrt(F.greatest(sum_, F.lit(0.0)))).otherwise(F.lit(1.0))
 
 
+def counts_of(words: Column, sought: list[str]) -> Column:
+    """How often each of ``sought`` (sorted, distinct) occurs in the words.
+
+    The words found are sorted together with one more of each sought: a run of equal
+    words for each, in their order, one longer than the word is frequent.
+    """
+    if not sought:
+        return F.array().cast("array<bigint>")
+    found = F.filter(words, lambda w: w.isin(sought))
+    ordered = F.sort_array(F.concat(found, F.array(*map(F.lit, sought))))
+    ends = _let(
+        ordered,
+        lambda s: F.array_compact(
+            F.transform(s, lambda w, i: F.when(~w.eqNullSafe(F.get(s, i + 1)), i.cast("bigint")))
+        ),
+    )
+    return _let(
+        ends,
+        lambda e: F.transform(
+            e, lambda end, k: end - F.coalesce(F.get(e, k - 1), F.lit(-1).cast("bigint")) - 1
+        ),
+    )
+
+
 def _limit(base: float, length: Column, least: int) -> Column:
     """The limit of a settled length, up to half as wide again at the least length."""
     spare = F.greatest(F.lit(0.0), 1 - (length - least) / F.lit(float(least * (SETTLED - 1))))
@@ -239,31 +269,31 @@ def judge(docs: DataFrame) -> DataFrame:
             none.alias("js_words"),
         )
     every = sorted({w for _, words, _ in known.values() for w in words})
-    counted = based.withColumn("_c", _class_counts(F.col("t"))).withColumn(
-        "_common", F.filter("words", lambda w: w.isin(every)) if every else F.array().cast("array<string>")
+    place = {w: k for k, w in enumerate(every)}
+    counted = based.select(
+        "doc_id",
+        *shown,
+        _split_rest(F.col("_c")).alias("_c"),
+        F.get("_c", F.lit(len(CLASSES))).alias("_length"),
+        counts_of(F.col("words"), every).alias("_common"),
     )
-    counted = counted.withColumn("_c", _split_rest(F.col("_c")))
 
     # One array of references, folded to a literal: the plan does not grow with languages.
     languages = F.array(
         *[
             F.struct(
                 F.array(*[F.lit(x) for x in classes]).alias("characters"),
-                F.array(*[F.lit(w) for w in words]).cast("array<string>").alias("words"),
+                F.array(*[F.lit(place[w]) for w in words]).cast("array<int>").alias("places"),
                 F.array(*[F.lit(x) for x in shares]).alias("shares"),
             )
             for classes, words, shares in known.values()
         ]
     )
 
-    def word_counts(d: Column, words: Column) -> Column:
-        common = d["common"]
-        found = F.transform(
-            words, lambda v: (F.size(common) - F.size(F.array_remove(common, v))).cast("bigint")
-        )
+    def word_counts(d: Column, places: Column) -> Column:
+        found = F.transform(places, lambda k: F.get(d["common"], k))
         return _let(found, lambda c: F.concat(c, F.array(d["n"] - _total(c))))
 
-    counted = counted.withColumn("_length", F.length("t"))
     by_language = _let(
         F.struct(
             F.col("_c").alias("c"),
@@ -275,7 +305,7 @@ def judge(docs: DataFrame) -> DataFrame:
             languages,
             lambda r: F.struct(
                 jensen_shannon(d["c"], d["length"], r["characters"]).alias("characters"),
-                jensen_shannon(word_counts(d, r["words"]), d["n"], r["shares"]).alias("words"),
+                jensen_shannon(word_counts(d, r["places"]), d["n"], r["shares"]).alias("words"),
             ),
         ),
     )
